@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, spans
+from gleaner.llm import bpe, mixing, spans
 from gleaner.sources.tables import table
 
 
@@ -19,10 +19,18 @@ def p8_summary(spark: SparkSession, d: str) -> DataFrame:
     return bpe.count_tokens(docs, "text", "n_tokens").groupBy("lang", "doc_type").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_summary, p10_found)}
+QUERIES = {f.__name__: f for f in (p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
 
 ORACLE: dict[str, str] = {}
