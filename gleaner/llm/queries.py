@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, mixing, spans
+from gleaner.functions.text import FILLERS
+from gleaner.llm import bpe, mixing, spans, survivors
 from gleaner.sources.tables import table
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.offer_survivors(table(spark, d, "offers"))
+
+
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.surviving_offers(table(spark, d, "offers"))
+
+
+def p4_layers(spark: SparkSession, d: str) -> DataFrame:
+    """How many records stand in each dominance layer, over all groups."""
+    groups = survivors.offer_candidates(table(spark, d, "offers"))
+    return groups.select(F.explode(survivors.with_layers(F.col("records"))).alias("r")).groupBy(F.col("r.layer").alias("layer")).agg(F.count("*").alias("n_records"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
 
@@ -31,6 +46,34 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_records, p4_layers, p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
+
+_FILLERS = ", ".join(f"'{x}'" for x in FILLERS)
+_TIER = "position(regexp_extract(upper(trim(source_tier, E' \\n\\t')), '^(?:TIER[ -]*)?([SABCD])$', 1) IN 'SABCD')"
+
+
+def _good(path: str) -> str:
+    return f"({path} IS NOT NULL AND lower(trim({path}, E' \\n\\t')) NOT IN ('', {_FILLERS}))"
+
+
+_P4 = " UNION ALL ".join(
+    f"SELECT identity.canonical_offer_id AS g, identity.offer_id AS i, source_tier, last_verified_at AS v, '{f}' AS f, {ok} AS ok FROM offers"
+    for f, ok in {
+        "title": _good("identity.title"),
+        "description": _good("identity.description"),
+        "coupon_code": _good("redemption.coupon_code"),
+        "valid_until": f"(validity.valid_until IS NOT NULL AND CAST(validity.valid_until AS VARCHAR) NOT IN ({', '.join(repr(x) for x in survivors.FILLER_DATES)}))",
+        "evidence_data": f"len(list_filter(evidence_data, lambda e: {_good('e.evidence')})) > 0",
+        "contributing_sources": f"len(list_filter(contributing_sources, lambda e: {_good('e')})) > 0",
+    }.items()
+)
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "p4_found": f"""
+WITH r AS ({_P4}),
+t AS (SELECT *, CASE WHEN regexp_extract(upper(trim(source_tier, E' \\n\\t')), '^(?:TIER[ -]*)?([SABCD])$', 1) IN ('', NULL) OR source_tier IS NULL THEN 9 ELSE {_TIER} END AS tier FROM r WHERE g IS NOT NULL AND i IS NOT NULL AND g IN (
+  SELECT identity.canonical_offer_id FROM offers GROUP BY 1 HAVING count(DISTINCT identity.offer_id) > 1))
+SELECT g AS canonical_offer_id, f AS field_name, i AS offer_id
+FROM (SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY tier, v DESC NULLS LAST, i) AS n FROM t WHERE ok) WHERE n = 1
+""",
+}
