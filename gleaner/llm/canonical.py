@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gleaner.functions.text import squeeze
 from gleaner.operators.orphans import url_slug
@@ -23,7 +24,7 @@ UNMATCHED = "UNMATCHED"
 ONE_EDIT, TWO_EDITS = 4, 8
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def folded(s: pd.Series) -> pd.Series:
     """Lower case without accents, signs such as the trademark sign removed; for non-ASCII text only."""
 
