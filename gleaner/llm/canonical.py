@@ -9,14 +9,12 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from gleaner.functions.text import squeeze
 from gleaner.operators.orphans import url_slug
-from gleaner.session import small_side
+from gleaner.session import ensure_checkpoint_dir, small_side
 
 UNMATCHED = "UNMATCHED"
 
@@ -24,25 +22,23 @@ UNMATCHED = "UNMATCHED"
 ONE_EDIT, TWO_EDITS = 4, 8
 
 
-@F.pandas_udf(StringType())
-def folded(s: pd.Series) -> pd.Series:
-    """Lower case without accents, signs such as the trademark sign removed; for non-ASCII text only."""
+def _plain_letters() -> tuple[str, str]:
+    """Letters with accents and wide forms, and what is left of each without."""
+    pairs = []
+    for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)]):
+        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if len(base) == 1 and base != c:
+            pairs.append((c, base))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
-    def fold(x: str | None) -> str | None:
-        if x is None:
-            return None
-        plain = "".join(" " if unicodedata.category(c) in ("So", "Sk", "Cf") else c for c in x)
-        return "".join(c for c in unicodedata.normalize("NFKD", plain) if not unicodedata.combining(c)).lower()
 
-    return s.map(fold)
+ACCENTED, PLAIN = _plain_letters()
 
 
-def with_folded(df: DataFrame, raw: str, into: str) -> DataFrame:
-    """`df` with the folded text of `raw`; ASCII texts stay in the JVM."""
-    ascii_ = F.col(raw).rlike(r"^\p{ASCII}*$")
-    plain = df.where(ascii_).withColumn(into, F.lower(raw))
-    other = df.where(~ascii_).withColumn(into, folded(F.col(raw)))
-    return plain.unionByName(other)
+def folded(text: Column) -> Column:
+    """Lower case without accents; signs such as the trademark sign as blanks."""
+    bare = F.regexp_replace(F.translate(text, ACCENTED, PLAIN), r"[\u0300-\u036f]", "")
+    return F.lower(F.regexp_replace(bare, r"[\p{So}\p{Sk}\p{Cf}]", " "))
 
 
 def words(text: Column) -> Column:
@@ -62,10 +58,8 @@ def reference_names(rows: DataFrame) -> DataFrame:
     `need` are the words of a name, `all` those that it may be written with besides: an optional word
     (an issuer, say) is no contradiction in a typed value and not missed in it.
     """
-    none = F.array().cast("array<string>")
-    f = with_folded(rows.where("name is not null").withColumn("optional", F.coalesce("optional", F.lit(""))), "name", "f_name")
-    f = with_folded(f, "optional", "f_opt")
-    named = f.select("kind", "entry", F.array_except(words(F.col("f_name")), words(F.col("f_opt"))).alias("need"), F.coalesce(words(F.col("f_opt")), none).alias("opt"))
+    f = rows.where("name is not null").select("kind", "entry", words(folded(F.col("name"))).alias("named"), words(folded(F.coalesce("optional", F.lit("")))).alias("opt"))
+    named = f.select("kind", "entry", F.array_except("named", "opt").alias("need"), "opt")
     named = named.where(F.size("need") > 0).distinct()
     return named.select("kind", "entry", F.xxhash64("kind", "entry", "need").alias("name_id"), "need", F.array_union("need", "opt").alias("all"))
 
@@ -108,49 +102,48 @@ def repair(tokens: DataFrame, vocab: DataFrame, longest: int) -> DataFrame:
 
 
 def map_values(values: DataFrame, names: DataFrame) -> DataFrame:
-    """(kind, raw, canonical, score) of each distinct row (kind, raw) of `values`.
+    """(kind, raw, canonical, score) of each distinct row (kind, raw) of `values` that means an entry.
 
     Words of the value that resemble nothing in the reference list are additions and do not count.
     An entry is a candidate if each of the others is one of its words (so another line of business
     is a contradiction) and its rarest word is among them. It is meant if all its words are there
-    and it ranks first, or if it is the only candidate; else the value is UNMATCHED, as it is with
-    no candidate or with equal first ranks. Null and blank values give no row.
+    and it ranks first, or if it is the only candidate; else the value has no row, as with no
+    candidate or with equal first ranks. Null and blank values give no row either.
     """
-    index, weights = vocabulary(names)
+    ensure_checkpoint_dir(values.sparkSession)
+    names = names.checkpoint()  # the reference list is fixed and small; so are all tables made of it
+    index, weights = (t.checkpoint() for t in vocabulary(names))
     longest = index.agg(F.max(F.char_length("vt"))).first()[0] or 0
-    vocab = index.select(F.col("kind").alias("k"), "vt").distinct()
-    distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct()
-    typed = with_folded(distinct, "raw", "f").select("kind", "raw", F.explode(words(F.col("f"))).alias("tok"))
-    fixed = repair(typed.select("kind", "tok").distinct(), vocab, longest)
     # Of each name: its words, the weight of all of them, and its rarest word.
-    word = names.select("kind", "name_id", "entry", F.size("need").alias("n_need"), F.explode("need").alias("vt")).join(small_side(weights), ["kind", "vt"])
+    word = names.select("kind", "name_id", "entry", F.size("need").alias("n_need"), F.explode("need").alias("vt")).join(weights, ["kind", "vt"])
     meta = word.groupBy("kind", "name_id", "entry", "n_need").agg(F.sum(F.col("idf") ** 2).alias("norm"), F.max(F.struct("idf", "vt"))["vt"].alias("head"))
-    needed = names.select("kind", "name_id", "need")
-    covers = index.join(small_side(needed), ["kind", "name_id"]).select("kind", "vt", "name_id", F.array_intersect("covers", "need").alias("covers"))
-    idf = index.select("kind", "vt", F.explode("covers").alias("w")).distinct().join(small_side(weights.withColumnRenamed("vt", "w")), ["kind", "w"]).groupBy("kind", "vt").agg(F.sum(F.col("idf") ** 2).alias("w2"))
-    repaired = fixed.join(small_side(idf), ["kind", "vt"]).join(small_side(covers), ["kind", "vt"])
-    # The candidates of each typed token, nearest first where one name has several.
-    options = repaired.groupBy("kind", "tok", "name_id").agg(F.max(F.struct("sim", "w2", "covers")).alias("o"))
+    covers = index.join(names.select("kind", "name_id", "need"), ["kind", "name_id"]).select("kind", "vt", "name_id", F.array_intersect("covers", "need").alias("covers"))
+    idf = index.select("kind", "vt", F.explode("covers").alias("w")).distinct().join(weights.withColumnRenamed("vt", "w"), ["kind", "w"]).groupBy("kind", "vt").agg(F.sum(F.col("idf") ** 2).alias("w2"))
+    entries = covers.join(idf, ["kind", "vt"]).join(meta, ["kind", "name_id"]).checkpoint()
+
+    distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct()
+    typed = distinct.select("kind", "raw", F.explode(words(folded(F.col("raw")))).alias("tok"))
+    fixed = repair(typed.select("kind", "tok").distinct(), index.select(F.col("kind").alias("k"), "vt").distinct(), longest)
+    # The candidates of each typed token, the nearest where one name has several.
+    options = fixed.join(small_side(entries), ["kind", "vt"]).groupBy("kind", "tok", "name_id").agg(F.max(F.struct("sim", "w2", "covers", "entry", "n_need", "norm", "head")).alias("o"))
     per_token = options.groupBy("kind", "tok").agg(F.collect_list(F.struct("name_id", "o")).alias("options"), F.max("o.w2").alias("w2"))
-    known = typed.join(per_token, ["kind", "tok"])
-    n_known = known.groupBy("kind", "raw").agg(F.count("*").alias("n_known"), F.sum("w2").alias("v_norm"))
-    hits = known.select("kind", "raw", F.inline("options")).groupBy("kind", "raw", "name_id").agg(
-        F.count("*").alias("n_hit"), F.sum(F.col("o.sim") * F.col("o.w2")).alias("dot"), F.array_distinct(F.flatten(F.collect_list("o.covers"))).alias("covered")
+    # All that follows is grouped within the value, on the partitioning of this one shuffle.
+    tokens = typed.join(per_token, ["kind", "tok"]).groupBy("kind", "raw").agg(F.collect_list("options").alias("tokens"), F.sum("w2").alias("v_norm"))
+    hits = (
+        tokens.select("kind", "raw", F.size("tokens").alias("n_known"), "v_norm", F.inline(F.flatten("tokens")))
+        .groupBy("kind", "raw", "n_known", "v_norm", "name_id")
+        .agg(F.count("*").alias("n_hit"), F.sum(F.col("o.sim") * F.col("o.w2")).alias("dot"), F.array_distinct(F.flatten(F.collect_list("o.covers"))).alias("covered"), F.max("o.entry").alias("entry"), F.max("o.n_need").alias("n_need"), F.max("o.norm").alias("norm"), F.max("o.head").alias("head"))
     )
     ranked = (
-        hits.join(n_known, ["kind", "raw"])
-        .where("n_hit = n_known")
-        .join(small_side(meta), ["kind", "name_id"])
-        .where(F.array_contains("covered", F.col("head")))
-        .select("kind", "raw", "entry", (F.size("covered") >= F.col("n_need")).alias("full"), F.round(F.col("dot") / F.sqrt(F.col("v_norm") * F.col("norm")), 6).alias("score"))
+        hits.where((F.col("n_hit") == F.col("n_known")) & F.array_contains("covered", F.col("head")))
+        .select("kind", "raw", "entry", F.struct((F.size("covered") >= F.col("n_need")).alias("full"), F.round(F.col("dot") / F.sqrt(F.col("v_norm") * F.col("norm")), 6).alias("score")).alias("rank"))
         .groupBy("kind", "raw", "entry")
-        .agg(F.max(F.struct("full", "score")).alias("rank"))
+        .agg(F.max("rank").alias("rank"))
     )
     decided = ranked.groupBy("kind", "raw").agg(F.max("rank").alias("top"), F.count("*").alias("n_entries"), F.collect_list(F.struct("rank", "entry")).alias("all"))
     firsts = F.filter("all", lambda x: x["rank"] == F.col("top"))
     meant = (F.size(firsts) == 1) & (F.col("top.full") | (F.col("n_entries") == 1))
-    decided = decided.select("kind", "raw", F.when(meant, firsts[0]["entry"]).alias("entry"), F.col("top.score").alias("score"))
-    return distinct.join(decided, ["kind", "raw"], "left").select("kind", "raw", F.coalesce("entry", F.lit(UNMATCHED)).alias("canonical"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    return decided.where(meant).select("kind", "raw", firsts[0]["entry"].alias("canonical"), F.col("top.score").alias("score"))
 
 
 def offer_reference(merchants: DataFrame, cards: DataFrame) -> DataFrame:
@@ -181,4 +174,5 @@ def map_offer_values(offers: DataFrame, feed_rows: DataFrame, merchants: DataFra
     """(field_name, record_id, raw_value, canonical_id) of every non-blank typed value, each once."""
     rows = typed_values(offers, feed_rows).distinct()
     mapped = map_values(rows, offer_reference(merchants, cards)).select("kind", "raw", "canonical")
-    return rows.join(mapped, ["kind", "raw"]).select("field_name", "record_id", F.col("raw").alias("raw_value"), F.col("canonical").alias("canonical_id"))
+    canonical = F.coalesce("canonical", F.lit(UNMATCHED))
+    return rows.join(mapped, ["kind", "raw"], "left").select("field_name", "record_id", F.col("raw").alias("raw_value"), canonical.alias("canonical_id"))
