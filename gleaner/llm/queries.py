@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import FILLERS
-from gleaner.llm import bpe, canonical, mixing, spans, survivors
+from gleaner.llm import bpe, canonical, mixing, pairs, spans, survivors
 from gleaner.sources.tables import table
 
 
@@ -19,6 +19,14 @@ def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return p1_found(spark, d).where(F.col("canonical_id") == canonical.UNMATCHED).groupBy("field_name", "raw_value").agg(F.count("*").alias("n_records"))
 
 
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.match_offers(table(spark, d, "bank_offers"), table(spark, d, "partner_listings"), table(spark, d, "merchants"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_matches(spark, d).select("bank_offer_id", "listing_id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return survivors.offer_survivors(table(spark, d, "offers"))
 
@@ -55,7 +63,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p4_records, p4_layers, p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_matches, p4_found, p4_records, p4_layers, p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
 
 _FILLERS = ", ".join(f"'{x}'" for x in FILLERS)
 _TIER = "position(regexp_extract(upper(trim(source_tier, E' \\n\\t')), '^(?:TIER[ -]*)?([SABCD])$', 1) IN 'SABCD')"
