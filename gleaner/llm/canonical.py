@@ -114,28 +114,43 @@ def map_values(values: DataFrame, names: DataFrame) -> DataFrame:
     names = names.checkpoint()  # the reference list is fixed and small; so are all tables made of it
     index, weights = (t.checkpoint() for t in vocabulary(names))
     longest = index.agg(F.max(F.char_length("vt"))).first()[0] or 0
-    # Of each name: its words, the weight of all of them, and its rarest word.
+    # Of each name: its words, the weight of all of them, its rarest word, and what each token covers.
     word = names.select("kind", "name_id", "entry", F.size("need").alias("n_need"), F.explode("need").alias("vt")).join(weights, ["kind", "vt"])
     meta = word.groupBy("kind", "name_id", "entry", "n_need").agg(F.sum(F.col("idf") ** 2).alias("norm"), F.max(F.struct("idf", "vt"))["vt"].alias("head"))
-    covers = index.join(names.select("kind", "name_id", "need"), ["kind", "name_id"]).select("kind", "vt", "name_id", F.array_intersect("covers", "need").alias("covers"))
+    covers = index.join(names.select("kind", "name_id", "need"), ["kind", "name_id"]).select("kind", "vt", "name_id", F.array_intersect("covers", "need").alias("covers")).join(meta, ["kind", "name_id"])
+    entries = covers.groupBy("kind", "name_id", "entry", "n_need", "norm", "head").agg(F.map_from_entries(F.collect_list(F.struct("vt", "covers"))).alias("index")).checkpoint()
     idf = index.select("kind", "vt", F.explode("covers").alias("w")).distinct().join(weights.withColumnRenamed("vt", "w"), ["kind", "w"]).groupBy("kind", "vt").agg(F.sum(F.col("idf") ** 2).alias("w2"))
-    entries = covers.join(idf, ["kind", "vt"]).join(meta, ["kind", "name_id"]).checkpoint()
+    heads = covers.groupBy("kind", "vt").agg(F.collect_set(F.when(F.array_contains("covers", F.col("head")), F.col("name_id"))).alias("names"))
+    known = idf.join(heads, ["kind", "vt"]).checkpoint()
 
     distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct()
     typed = distinct.select("kind", "raw", F.explode(words(folded(F.col("raw")))).alias("tok"))
     fixed = repair(typed.select("kind", "tok").distinct(), index.select(F.col("kind").alias("k"), "vt").distinct(), longest)
-    # The candidates of each typed token, the nearest where one name has several.
-    options = fixed.join(small_side(entries), ["kind", "vt"]).groupBy("kind", "tok", "name_id").agg(F.max(F.struct("sim", "w2", "covers", "entry", "n_need", "norm", "head")).alias("o"))
-    per_token = options.groupBy("kind", "tok").agg(F.collect_list(F.struct("name_id", "o")).alias("options"), F.max("o.w2").alias("w2"))
+    # The repairs of each typed token, and the names of which it gives the rarest word.
+    per_token = (
+        fixed.join(small_side(known), ["kind", "vt"])
+        .groupBy("kind", "tok")
+        .agg(F.collect_list(F.struct("vt", "sim", "w2")).alias("fixes"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.max("w2").alias("w2"))
+    )
     # All that follows is grouped within the value, on the partitioning of this one shuffle.
-    tokens = typed.join(per_token, ["kind", "tok"]).groupBy("kind", "raw").agg(F.collect_list("options").alias("tokens"), F.sum("w2").alias("v_norm"))
-    hits = (
-        tokens.select("kind", "raw", F.size("tokens").alias("n_known"), "v_norm", F.inline(F.flatten("tokens")))
-        .groupBy("kind", "raw", "n_known", "v_norm", "name_id")
-        .agg(F.count("*").alias("n_hit"), F.sum(F.col("o.sim") * F.col("o.w2")).alias("dot"), F.array_distinct(F.flatten(F.collect_list("o.covers"))).alias("covered"), F.max("o.entry").alias("entry"), F.max("o.n_need").alias("n_need"), F.max("o.norm").alias("norm"), F.max("o.head").alias("head"))
+    tokens = (
+        typed.join(per_token, ["kind", "tok"])
+        .groupBy("kind", "raw")
+        .agg(F.collect_list("fixes").alias("tokens"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.sum("w2").alias("v_norm"))
     )
+
+    def nearest(fixes: Column) -> Column:
+        """Of a token's repairs that the name knows, the one that counts most, with what it covers; null for none."""
+        inside = F.filter(fixes, lambda x: F.map_contains_key("index", x["vt"]))
+        return F.array_max(F.transform(inside, lambda x: F.struct((x["sim"] * x["w2"]).alias("dot"), F.try_element_at("index", x["vt"]).alias("covers"))))
+
+    candidates = tokens.select("kind", "raw", "tokens", "v_norm", F.explode("names").alias("name_id")).join(small_side(entries), ["kind", "name_id"])
+    hits = candidates.withColumn("hits", F.transform("tokens", nearest)).where(~F.exists("hits", lambda h: h.isNull()))
+    covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["covers"])))
+    dot = F.aggregate("hits", F.lit(0.0), lambda acc, h: acc + h["dot"])
     ranked = (
-        hits.where((F.col("n_hit") == F.col("n_known")) & F.array_contains("covered", F.col("head")))
+        hits.select("kind", "raw", "entry", "n_need", "head", "norm", "v_norm", covered.alias("covered"), dot.alias("dot"))
+        .where(F.array_contains("covered", F.col("head")))
         .select("kind", "raw", "entry", F.struct((F.size("covered") >= F.col("n_need")).alias("full"), F.round(F.col("dot") / F.sqrt(F.col("v_norm") * F.col("norm")), 6).alias("score")).alias("rank"))
         .groupBy("kind", "raw", "entry")
         .agg(F.max("rank").alias("rank"))
