@@ -39,3 +39,57 @@ def reference_key(c: Column) -> Column:
 def no_blanks(c: Column) -> Column:
     """Lower case without any blank; null if nothing is left."""
     return F.nullif(F.lower(F.regexp_replace(c, BLANKS + "+", "")), F.lit(""))
+
+
+# --- generic helpers on text and nested values -----------------------------------------------------
+
+
+def sanitize(c: Column) -> Column:
+    """Compatibility forms that a blank can take as one blank, zero-width characters removed, runs as one, outer blanks off."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[​﻿]", ""), BLANKS + "+", " "))
+
+
+def clean(c: Column) -> Column:
+    """`sanitize` and one trailing separator dropped; null if nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(sanitize(c), r"\s*[|·•]\s*$", "")), F.lit(""))
+
+
+def slugify(c: Column, separator: str = "_") -> Column:
+    """Lower case, each run of other than letters and digits as one separator, none outside. Non-ASCII letters go."""
+    ascii_ = F.regexp_replace(F.lower(c), r"[^\x00-\x7f]", "")
+    return F.regexp_replace(F.regexp_replace(ascii_, r"[^a-z0-9]+", separator), rf"^\{separator}+|\{separator}+$", "")
+
+
+def stable_hash(*parts: Column, length: int = 12) -> Column:
+    """The first `length` hexadecimal digits of SHA-256 over the parts, joined by U+241F; a null part counts as empty."""
+    return F.substring(F.sha2(F.concat_ws("␟", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, length)
+
+
+def first_given(*values: Column) -> Column:
+    """The first that is neither null nor blank text; 0 and false count."""
+    return F.coalesce(*[F.when(F.trim(v.cast("string")) != "", v) for v in values])
+
+
+def titleise(c: Column) -> Column:
+    """A slug as a display name; short capitals and mixed case stay, and so does text with blanks and no - or _."""
+    t = clean(c)
+    words = F.filter(F.split(t, r"[-_\s]+"), lambda w: w != "")
+
+    def word(w: Column) -> Column:
+        rest = F.substring(w, F.lit(2), F.char_length(w))
+        keep = ((F.upper(w) == w) & (F.lower(w) != w) & (F.char_length(w) <= 4)) | rest.rlike(r"\p{Lu}")
+        return F.when(keep, w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(rest)))
+
+    return F.when(t.contains(" ") & ~t.rlike("[-_]"), t).otherwise(F.nullif(F.array_join(F.transform(words, word), " "), F.lit("")))
+
+
+def split_list(c: Column, separators: str = ",;|") -> Column:
+    """The cleaned parts between separators (or a written \\n), the first of those that differ in case only."""
+    parts = F.filter(F.transform(F.split(c, r"[" + "".join("\\" + s for s in separators) + r"]|\\n"), clean), lambda x: x.isNotNull())
+    empty = F.array().cast("array<string>")
+    return F.aggregate(parts, empty, lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)))
+
+
+def json_path(c: Column, path: str, default: str | None = None) -> Column:
+    """The text at a dotted path (a.b[0].c) of a JSON text; missing, null or unreadable gives the default."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(c), f"$.{path}", "string"), F.lit(default))
