@@ -30,7 +30,7 @@ def json_records(spark: SparkSession, path: str, field: str | None = None) -> Da
 
 def snapshot_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(source_key, text) of a folder with one <key>.html for each source."""
-    pages = spark.read.option("wholetext", "true").text(f"{folder}/*.html")
+    pages = spark.read.text(f"{folder}/*.html", wholetext=True)
     return pages.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.html$", 1).alias("source_key"), F.col("value").alias("text"))
 
 
