@@ -14,9 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.session import ensure_checkpoint_dir
+
 # A perfect difference set, each residue but 0 once as a difference.
 PERIOD, COVER = 73, (0, 1, 3, 7, 15, 31, 36, 54, 63)
 assert len({(a - b) % PERIOD for a in COVER for b in COVER}) == PERIOD
@@ -83,8 +86,28 @@ def _groups(rows: Iterator[tuple], width: int) -> Iterator[tuple[list, np.ndarra
         yield done()
 
 
-def anchors(reps: DataFrame, span: int) -> DataFrame:
-    """(h, doc, p) of the anchors of each text of `reps` (doc BIGINT, text)."""
+#: Bits of the filter of shared anchors. Its size is fixed: with very many anchors it lets more rows pass, and a join still decides.
+FILTER_BITS = 1 << 26
+
+
+def _places_in_filter(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each hash."""
+    u = h.view(np.uint64)
+    return (u & np.uint64(FILTER_BITS - 1)).astype(np.int64), ((u >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def hash_filter(hashes: DataFrame) -> Broadcast:
+    """A Bloom filter of two bits for each hash, as 64-bit words, at most FILTER_BITS / 64 of which come to the driver."""
+    bits = F.array(*[F.col("h").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("h", 32).bitwiseAND(FILTER_BITS - 1)])
+    words = hashes.select(F.explode(bits).alias("b")).select(F.shiftright("b", 6).alias("word"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return hashes.sparkSession.sparkContext.broadcast(table)
+
+
+def anchors(reps: DataFrame, span: int, known: Broadcast | None = None) -> DataFrame:
+    """(h, doc, p) of the anchors of each text of `reps` (doc BIGINT, text); with a filter, of those that it lets pass."""
     width = span - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +120,11 @@ def anchors(reps: DataFrame, span: int) -> DataFrame:
                 piece = np.repeat(np.arange(len(keys)), np.diff(ends))[: len(h)]
                 local = np.arange(len(h)) - ends[piece]
                 p = local + places[piece]
-                take = on[p % PERIOD] & (local + width <= np.diff(ends)[piece])
+                take = np.flatnonzero(on[p % PERIOD] & (local + width <= np.diff(ends)[piece]))
+                if known is not None:
+                    first, second = _places_in_filter(h[take])
+                    table = known.value
+                    take = take[((table[first >> 6] >> (first & 63)) & (table[second >> 6] >> (second & 63)) & 1) == 1]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[take].view(np.int64)), pa.array(np.array(keys, np.int64)[piece[take]]), pa.array(p[take])], ["h", "doc", "p"]
                 )
@@ -132,10 +159,9 @@ def span_windows(found: DataFrame, span: int) -> DataFrame:
     return found.select("doc", "text", "places").mapInArrow(run, "h bigint, doc bigint, s bigint")
 
 
-def in_two(rows: DataFrame) -> DataFrame:
-    """The rows whose hash occurs in at least two texts. Counted with a combine before the shuffle."""
-    shared = rows.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("h")
-    return rows.join(shared, "h", "left_semi")
+def hashes_in_two(rows: DataFrame) -> DataFrame:
+    """The hashes that occur in at least two texts. Counted with a combine before the shuffle."""
+    return rows.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("h")
 
 
 def shared_spans(df: DataFrame, key: str, text: str, span: int = 160) -> DataFrame:
@@ -153,11 +179,15 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 160) -> DataFra
     keyed = docs.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), F.char_length("text").cast("long").alias("n"))
     classes = keyed.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), F.count("*").alias("members"))
     reps = docs.join(classes.select("doc", "members"), "doc")
-    places = in_two(anchors(reps, span)).groupBy("doc").agg(F.collect_list("p").alias("places"))
+    ensure_checkpoint_dir(df.sparkSession)
+    shared = hashes_in_two(anchors(reps, span)).checkpoint()
+    located = anchors(reps, span, hash_filter(shared)).join(shared, "h", "left_semi")
+    places = located.groupBy("doc").agg(F.collect_list("p").alias("places"))
     found = docs.join(places, "doc")
     w = Window.partitionBy("doc").orderBy("s")
     step = F.least(F.lit(span).cast("long"), F.coalesce(F.lead("s").over(w) - F.col("s"), F.lit(span).cast("long")))
-    partly = in_two(span_windows(found, span)).select("doc", step.alias("step")).groupBy("doc").agg(F.sum("step").alias("shared_chars"))
+    windows = span_windows(found, span)
+    partly = windows.join(hashes_in_two(windows), "h", "left_semi").select("doc", step.alias("step")).groupBy("doc").agg(F.sum("step").alias("shared_chars"))
     single = classes.where("members = 1").select("doc")
     copies = keyed.join(classes.where("members > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("doc", F.col("n").alias("shared_chars"))
     return partly.join(single, "doc", "left_semi").unionByName(copies).withColumnRenamed("doc", key)
