@@ -106,7 +106,7 @@ def map_values(values: DataFrame, names: DataFrame) -> DataFrame:
 
     Words of the value that resemble nothing in the reference list are additions and do not count.
     An entry is a candidate if each of the others is one of its words (so another line of business
-    is a contradiction) and its rarest word is among them. It is meant if all its words are there
+    is a contradiction) and its first word is among them. It is meant if all its words are there
     and it ranks first, or if it is the only candidate; else the value has no row, as with no
     candidate or with equal first ranks. Null and blank values give no row either.
     """
@@ -114,9 +114,9 @@ def map_values(values: DataFrame, names: DataFrame) -> DataFrame:
     names = names.checkpoint()  # the reference list is fixed and small; so are all tables made of it
     index, weights = (t.checkpoint() for t in vocabulary(names))
     longest = index.agg(F.max(F.char_length("vt"))).first()[0] or 0
-    # Of each name: its words, the weight of all of them, its rarest word, and what each token covers.
-    word = names.select("kind", "name_id", "entry", F.size("need").alias("n_need"), F.explode("need").alias("vt")).join(weights, ["kind", "vt"])
-    meta = word.groupBy("kind", "name_id", "entry", "n_need").agg(F.sum(F.col("idf") ** 2).alias("norm"), F.max(F.struct("idf", "vt"))["vt"].alias("head"))
+    # Of each name: its words, the weight of all of them, its first word, and what each token covers.
+    word = names.select("kind", "name_id", "entry", F.size("need").alias("n_need"), F.col("need")[0].alias("head"), F.explode("need").alias("vt")).join(weights, ["kind", "vt"])
+    meta = word.groupBy("kind", "name_id", "entry", "n_need", "head").agg(F.sum(F.col("idf") ** 2).alias("norm"))
     covers = index.join(names.select("kind", "name_id", "need"), ["kind", "name_id"]).select("kind", "vt", "name_id", F.array_intersect("covers", "need").alias("covers")).join(meta, ["kind", "name_id"])
     entries = covers.groupBy("kind", "name_id", "entry", "n_need", "norm", "head").agg(F.map_from_entries(F.collect_list(F.struct("vt", "covers"))).alias("index")).checkpoint()
     idf = index.select("kind", "vt", F.explode("covers").alias("w")).distinct().join(weights.withColumnRenamed("vt", "w"), ["kind", "w"]).groupBy("kind", "vt").agg(F.sum(F.col("idf") ** 2).alias("w2"))
@@ -126,7 +126,7 @@ def map_values(values: DataFrame, names: DataFrame) -> DataFrame:
     distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct()
     typed = distinct.select("kind", "raw", F.explode(words(folded(F.col("raw")))).alias("tok"))
     fixed = repair(typed.select("kind", "tok").distinct(), index.select(F.col("kind").alias("k"), "vt").distinct(), longest)
-    # The repairs of each typed token, and the names of which it gives the rarest word.
+    # The repairs of each typed token, and the names of which it gives the first word.
     per_token = (
         fixed.join(small_side(known), ["kind", "vt"])
         .groupBy("kind", "tok")
