@@ -210,6 +210,15 @@ FROM (SELECT DISTINCT ingest_seq, identity.offer_id, benefit.benefit_text AS t F
     "parsed_dates": f"SELECT o_orderkey, form, {_DAY} AS read FROM orders, range(5) r(form)",
     "parsed_ranges": f"SELECT o_orderkey, {_DAY} AS first_day, CAST({_DAY} + INTERVAL 9 DAY AS DATE) AS last_day FROM orders",
     "stable_hashes": "SELECT c_custkey, left(sha256(c_name || '␟' || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE coalesce(c_mktsegment, '') END), 16) AS h FROM customer",
+    "slugs_of_parts": """
+SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') AS slug,
+  array_to_string(list_transform(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-'), '-'), lambda w: upper(w[1]) || w[2:]), ' ') AS shown FROM part""",
+    "alias_keys": """
+SELECT DISTINCT merchant_id, trim(regexp_replace(regexp_replace(lower(merchant_name || ' Pvt Ltd'), '\\b(?:pvt|private|ltd|limited|india|indian|online|store|stores|shop|shopping|gift|vouchers?|e-?voucher|gift\\s*cards?|offers?|deals?|com|in)\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS key,
+  CASE lower(merchant_category) WHEN 'electronics' THEN 'ELECTRONICS' WHEN 'fashion' THEN 'FASHION' WHEN 'jewellery' THEN 'JEWELLERY' WHEN 'grocery' THEN 'GROCERY' WHEN 'travel' THEN 'TRAVEL' WHEN 'dining' THEN 'DINING' WHEN 'health' THEN 'HEALTH' WHEN 'entertainment' THEN 'ENTERTAINMENT' WHEN NULL THEN NULL ELSE 'OTHER' END AS category FROM merchants""",
+    "transaction_types": """
+SELECT DISTINCT ingest_seq, CASE WHEN regexp_matches(text, '(?i)\\bemi\\b') THEN 'EMI_ONLY' WHEN regexp_matches(text, '(?i)\\bupi\\b') THEN 'UPI_ONLY' WHEN upper(isOnline) IN ('Y', 'YES', 'TRUE', 'ONLINE') THEN 'ONLINE' WHEN upper(isOnline) IN ('N', 'NO', 'FALSE', 'OFFLINE') THEN 'OFFLINE'
+  WHEN regexp_matches(text, '(?i)\\bin[- ]*store\\b|\\boffline\\b|\\bat\\s*(?:the\\s*)?outlet') THEN 'OFFLINE' WHEN regexp_matches(text, '(?i)\\bonline\\b|\\bwebsite\\b|\\bapp\\b') THEN 'ONLINE' END AS kind FROM feed_rows""",
     "json_paths": "SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, 'none' AS miss FROM events",
     "split_cities": "SELECT ingest_seq, trim(unnest(string_split_regex(city, '[,;|]'))) AS city FROM (SELECT DISTINCT ingest_seq, city FROM feed_rows WHERE city IS NOT NULL)",
     "coverage_documents": " UNION ALL ".join(f"SELECT '{c}' AS field, count_if({ok}) AS n, count(*) AS total, count_if({ok}) || '/' || count(*) AS coverage FROM documents" for c, ok in _FILLED.items()),
