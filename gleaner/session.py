@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +13,26 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of every executor this package, once for each Spark context.
+
+    The workers import it by name; on a cluster they have neither the driver's folders nor its path.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_gleaner_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gleaner-package-")) / "gleaner.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._gleaner_shipped = True
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "gleaner") -> SparkSession:
     """A session with the settings that the tests and the benchmark use."""
-    return (
+    spark = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -24,6 +43,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
