@@ -37,8 +37,7 @@ def p4_records(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_layers(spark: SparkSession, d: str) -> DataFrame:
     """How many records stand in each dominance layer, over all groups."""
-    groups = survivors.offer_candidates(table(spark, d, "offers"))
-    return groups.select(F.explode(survivors.with_layers(F.col("records"))).alias("r")).groupBy(F.col("r.layer").alias("layer")).agg(F.count("*").alias("n_records"))
+    return survivors.layer_sizes(survivors.judged_offers(table(spark, d, "offers")))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,10 @@ so the layers give exactly the policy's record.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,20 +64,26 @@ def usable_offer_fields() -> dict[str, Column]:
     }
 
 
-def candidates(df: DataFrame, group: Column, record: Column, trust: Column, recency: Column, usable: dict[str, Column]) -> DataFrame:
-    """(group, records): the records of each group that can matter, best first.
+def judged(df: DataFrame, group: Column, record: Column, trust: Column, recency: Column, usable: dict[str, Column]) -> DataFrame:
+    """(grp, id, trust, age, mask) of each row by which a record is judged; rows without a group or an id are left out.
 
-    Of the records with the same usable fields and tier only the latest (then smallest id) can
-    survive anywhere, and that one is found by a minimum that combines before the shuffle; so a group
-    comes down to at most 2 ** fields * tiers records however many it holds. A record is
-    struct(trust, age, id, mask); groups with fewer than two different ids are left out, as are rows
-    without a group or an id. A null recency is the oldest.
+    A null recency is the oldest.
     """
     mask = F.lit(0)
     for i, u in enumerate(usable.values()):
         mask = mask + F.when(u, 1 << i).otherwise(0)
     age = F.coalesce(-recency, F.lit((1 << 63) - 1))
-    rows = df.select(group.alias("grp"), record.alias("id"), trust.alias("trust"), age.alias("age"), mask.alias("mask")).where("grp is not null and id is not null")
+    return df.select(group.alias("grp"), record.alias("id"), trust.alias("trust"), age.alias("age"), mask.alias("mask")).where("grp is not null and id is not null")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(group, records): the records of each group of `judged` rows that can matter, best first.
+
+    Of the records with the same usable fields and tier only the latest (then smallest id) can
+    survive anywhere, and that one is found by a minimum that combines before the shuffle; so a group
+    comes down to at most 2 ** fields * tiers records however many it holds. A record is
+    struct(trust, age, id, mask); groups with fewer than two different ids are left out.
+    """
     best = rows.groupBy("grp", "mask", "trust").agg(F.min(F.struct("age", "id")).alias("best"), F.min("id").alias("low"), F.max("id").alias("high"))
     return (
         best.groupBy("grp")
@@ -99,6 +109,35 @@ def with_layers(records: Column) -> Column:
     return F.aggregate(records, empty, add)
 
 
+def _count_layers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    last, group, top = None, None, {}
+    for b in batches:
+        counts = Counter()
+        for row in b.itertuples(index=False, name=None):
+            if row == last:
+                continue  # a copy
+            last = row
+            grp, _, _, trust, mask = row
+            if grp != group:
+                group, top = grp, {}
+            layer = 1 + max((n for (m, t), n in top.items() if t <= trust and m & mask == mask), default=0)
+            top[mask, trust] = layer  # the later of a class is dominated by the earlier, so it stands deeper
+            counts[layer] += 1
+        yield pd.DataFrame({"layer": list(counts), "n_records": list(counts.values())}, columns=["layer", "n_records"]).astype("int64")
+
+
+def layer_sizes(rows: DataFrame) -> DataFrame:
+    """(layer, n_records) of all `judged` records of all groups, those of a single id included; equal rows count once.
+
+    Within a group the records are read from the latest on, so each stands behind all that dominate
+    it; what is kept of them is the deepest layer of each (usable fields, tier), however many they are.
+    A group is read by one task.
+    """
+    order = [F.col("grp"), F.col("age"), F.col("id"), F.col("trust"), F.desc("mask")]
+    found = rows.select("grp", "age", "id", "trust", "mask").repartition("grp").sortWithinPartitions(*order).mapInPandas(_count_layers, "layer bigint, n_records bigint")
+    return found.groupBy(F.col("layer").cast("int").alias("layer")).agg(F.sum("n_records").alias("n_records"))
+
+
 def surviving_fields(groups: DataFrame, fields: list[str]) -> DataFrame:
     """(grp, field_name, id, layer) of the record whose value survives; no row if no record has one."""
 
@@ -112,12 +151,16 @@ def surviving_fields(groups: DataFrame, fields: list[str]) -> DataFrame:
     return layered.select("grp", F.inline(picks)).where("best is not null").select("grp", "field_name", F.col("best.id").alias("id"), F.col("best.layer").alias("layer"))
 
 
-def offer_candidates(offers: DataFrame) -> DataFrame:
-    return candidates(
+def judged_offers(offers: DataFrame) -> DataFrame:
+    return judged(
         offers, F.col("identity.canonical_offer_id"), F.col("identity.offer_id"), tier_rank(F.col("source_tier")).cast("int"), local_micros(F.col("last_verified_at")), usable_offer_fields()
     )
 
 
+def offer_candidates(offers: DataFrame) -> DataFrame:
+    return candidates(judged_offers(offers))
+
+
 def offer_survivors(offers: DataFrame) -> DataFrame:
     """(canonical_offer_id, field_name, offer_id) of offers: the record whose value survives, by field."""
     found = surviving_fields(offer_candidates(offers), list(FIELDS))

@@ -166,6 +166,30 @@ def test_layers(spark):
     assert layers((0, 1, "a", 3), (1, 2, "b", 3), (2, 3, "c", 1), (4, 9, "d", 4)) == {"a": 1, "b": 2, "c": 3, "d": 1}
 
 
+def brute_layers(rows):
+    """Layers of all distinct (grp, id, trust, age, mask), peeled off one after another."""
+    over = lambda a, x: a != x and a[0] == x[0] and a[2] <= x[2] and (a[3], a[1]) <= (x[3], x[1]) and a[4] & x[4] == x[4]
+    left, sizes = set(rows), []
+    while left:
+        first = {x for x in left if not any(over(a, x) for a in left)}
+        sizes.append(len(first))
+        left -= first
+    return dict(enumerate(sizes, 1))
+
+
+def test_layer_sizes_count_all_records(spark):
+    """Dominated records of one class and groups of a single id count too, copies do not."""
+    some = [("g", "a", 0, 1, 3), ("g", "b", 0, 2, 3), ("g", "c", 0, 3, 3), ("g", "c", 0, 3, 3), ("one", "d", 5, 1, 0)]
+    rnd = random.Random(5)
+    many = [(rnd.choice("gh"), f"o{rnd.randrange(120)}", rnd.randrange(6), rnd.randrange(9), rnd.randrange(16)) for _ in range(300)]
+    for rows in (some, many, []):
+        df = spark.createDataFrame(rows, "grp string, id string, trust int, age bigint, mask int")
+        assert {r["layer"]: r["n_records"] for r in survivors.layer_sizes(df).collect()} == brute_layers(rows)
+    offers = random_offers(random.Random(3), 200, 20)
+    got = {r["layer"]: r["n_records"] for r in survivors.layer_sizes(survivors.judged_offers(spark.createDataFrame(offers, OFFER))).collect()}
+    assert sum(got.values()) == spark.createDataFrame(offers, OFFER).where("identity.canonical_offer_id is not null and identity.offer_id is not null").transform(survivors.judged_offers).distinct().count()
+
+
 def test_first_layer_holds_every_survivor(spark, data):
     groups = survivors.offer_candidates(spark.read.parquet(f"{data}/offers.parquet"))
     assert survivors.surviving_fields(groups, list(survivors.FIELDS)).where("layer > 1").count() == 0
