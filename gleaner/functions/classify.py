@@ -1,4 +1,4 @@
-"""Categories, transaction kinds and comparison keys from text. JVM-side expressions."""
+"""Categories, transaction kinds and comparison keys from text. JVM-side expressions, but for what `text.clean` leaves to Python."""
 
 from __future__ import annotations
 
@@ -51,7 +51,7 @@ DISTINCT_NAMES = (
     "amazon", "amazon pay", "amazon fresh", "amazon business", "flipkart", "flipkart health", "myntra", "ajio", "tata cliq",
     "tata cliq luxury", "tata neu", "reliance digital", "reliance smart", "reliance trends", "jiomart",
 )
-NOISE = r"\b(?:pvt|private|ltd|limited|india|indian|online|store|stores|shop|shopping|gift|vouchers?|e-?voucher|gift\s*cards?|offers?|deals?|com|in)\b"
+NOISE = r"(?U)\b(?:pvt|private|ltd|limited|india|indian|online|store|stores|shop|shopping|gift|vouchers?|e-?voucher|gift\s*cards?|offers?|deals?|com|in)\b"
 
 
 def alias_key(c: Column) -> Column:

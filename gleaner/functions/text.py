@@ -1,9 +1,14 @@
-"""Text columns: blank and filler tests, white space, keys. All JVM-side."""
+"""Text columns: blank and filler tests, white space, keys. JVM-side, but for Unicode normal forms of texts that are not ASCII."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Entries that only say that nothing is known, in lower case, outer blanks removed.
 FILLERS = (
@@ -44,19 +49,51 @@ def no_blanks(c: Column) -> Column:
 # --- generic helpers on text and nested values -----------------------------------------------------
 
 
+def _sanitized(text: str) -> str:
+    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text).replace("\u200b", "")).strip()
+
+
+def _sanitize(texts: pd.Series) -> pd.Series:
+    return texts.map(_sanitized, na_action="ignore")
+
+
+def _sanitize_lists(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda xs: [None if x is None else _sanitized(x) for x in xs], na_action="ignore")
+
+
+def _to_ascii(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), na_action="ignore")
+
+
+# Spark has no expression for normal forms; these see only the texts that are not ASCII, null for the others.
+_sanitize_udf, _sanitize_lists_udf, _to_ascii_udf = F.pandas_udf(_sanitize, StringType()), F.pandas_udf(_sanitize_lists, ArrayType(StringType())), F.pandas_udf(_to_ascii, StringType())
+
+
+def _beyond_ascii(c: Column) -> Column:
+    return c.rlike(r"[^\x00-\x7f]")
+
+
+def _sanitize_ascii(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, r"[\s\x1c-\x1f]+", " "))
+
+
+def _without_separator(c: Column) -> Column:
+    return F.nullif(F.trim(F.regexp_replace(c, r"\s*[|·•]\s*$", "")), F.lit(""))
+
+
 def sanitize(c: Column) -> Column:
-    """Compatibility forms that a blank can take as one blank, zero-width characters removed, runs as one, outer blanks off."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[​﻿]", ""), BLANKS + "+", " "))
+    """NFKC, zero-width spaces removed, runs of white space as one blank, outer blanks off."""
+    return F.when(_beyond_ascii(c), _sanitize_udf(F.when(_beyond_ascii(c), c))).otherwise(_sanitize_ascii(c))
 
 
 def clean(c: Column) -> Column:
-    """`sanitize` and one trailing separator dropped; null if nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(sanitize(c), r"\s*[|·•]\s*$", "")), F.lit(""))
+    """`sanitize` and one trailing separator dropped; null if nothing is left. Not for use within a lambda."""
+    return _without_separator(sanitize(c))
 
 
 def slugify(c: Column, separator: str = "_") -> Column:
-    """Lower case, each run of other than letters and digits as one separator, none outside. Non-ASCII letters go."""
-    ascii_ = F.regexp_replace(F.lower(c), r"[^\x00-\x7f]", "")
+    """NFKD to ASCII (a letter loses its accent, what has no ASCII form goes), lower case, each run of other than letters and digits as one separator, none outside."""
+    ascii_ = F.lower(F.when(_beyond_ascii(c), _to_ascii_udf(F.when(_beyond_ascii(c), c))).otherwise(c))
     return F.regexp_replace(F.regexp_replace(ascii_, r"[^a-z0-9]+", separator), rf"^\{separator}+|\{separator}+$", "")
 
 
@@ -85,7 +122,9 @@ def titleise(c: Column) -> Column:
 
 def split_list(c: Column, separators: str = ",;|") -> Column:
     """The cleaned parts between separators (or a written \\n), the first of those that differ in case only."""
-    parts = F.filter(F.transform(F.split(c, r"[" + "".join("\\" + s for s in separators) + r"]|\\n"), clean), lambda x: x.isNotNull())
+    split = F.split(c, r"[" + "".join("\\" + s for s in separators) + r"]|\\n")
+    sanitized = F.when(_beyond_ascii(c), _sanitize_lists_udf(F.when(_beyond_ascii(c), split))).otherwise(F.transform(split, _sanitize_ascii))
+    parts = F.filter(F.transform(sanitized, _without_separator), lambda x: x.isNotNull())
     empty = F.array().cast("array<string>")
     return F.aggregate(parts, empty, lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)))
 

@@ -40,6 +40,21 @@ def test_functions(spark, fn, value, want):
     assert of(spark, fn, value) == want
 
 
+@pytest.mark.parametrize(
+    ("fn", "value", "want"),
+    [
+        (text.sanitize, " ﬁne\u3000dining\u200b ＡＢ½ ", "fine dining AB1⁄2"), (text.sanitize, "e\u0301t\u00e9\u00a0\u2003x", "\u00e9t\u00e9 x"), (text.sanitize, "a\x1fb", "a b"),
+        (text.clean, "Stilwek Travels™", "Stilwek TravelsTM"), (text.clean, "Café •", "Café"), (text.clean, "\u00a0\u2003", None),
+        (text.slugify, "Crème Brûlée № 5™", "creme_brulee_no_5tm"), (text.slugify, "ｆｕｌｌ", "full"), (text.slugify, "चाय", ""), (text.slugify, None, None),
+        (text.split_list, "Ａ™, a，b ;aTM|é", ["ATM", "a,b", "é"]), (text.titleise, "café-no™", "Café noTM"),
+        (classify.alias_key, "Stilwek Travels™ Pvt Ltd", "stilwek travelstm"), (classify.alias_key, "Ａmazon Ｆresh", "amazon fresh"), (classify.alias_key, "éshop x", "shop x"),
+    ],
+)
+def test_text_beyond_ascii(spark, fn, value, want):
+    """NFKC and NFKD, as Python's unicodedata has them."""
+    assert of(spark, fn, value) == want
+
+
 @pytest.mark.parametrize(
     ("value", "want"),
     [
