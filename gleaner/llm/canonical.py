@@ -1,7 +1,7 @@
 """Free-entered values mapped to the entries of a reference list.
 
 Each distinct token of the typed values is repaired first: joined to the reference vocabulary by edit
-distance (over shared one-letter deletions, so without a cross join). The repaired tokens of a value
+distance (over shared deletions of one or two letters, so without a cross join). The repaired tokens of a value
 are then combined by soft TF-IDF to rank the complete entries.
 """
 
@@ -52,6 +52,14 @@ def deletions(token: Column) -> Column:
     return F.array_distinct(F.concat(F.array(token), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(token, F.lit(1), i - 1), F.substring(token, i + 1, n)))))
 
 
+def deletion_keys(token: Column) -> Column:
+    """struct(key, depth) of a token: hashes of `deletions` under depth 1, for long tokens those that lack two letters under 2."""
+    one = deletions(token)
+    two = F.array_except(F.flatten(F.transform(one, deletions)), one)
+    hashed = lambda xs, depth: F.transform(xs, lambda x: F.struct(F.xxhash64(x).alias("key"), F.lit(depth).alias("depth")))
+    return F.when(F.char_length(token) >= TWO_EDITS, F.concat(hashed(one, 1), hashed(two, 2))).otherwise(hashed(one, 1))
+
+
 def reference_names(rows: DataFrame) -> DataFrame:
     """(kind, entry, name_id, need, all) of rows (kind, entry, name, optional).
 
@@ -82,20 +90,20 @@ def vocabulary(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repair(tokens: DataFrame, vocab: DataFrame, longest: int) -> DataFrame:
     """(kind, tok, vt, sim): each distinct typed token with the nearest reference tokens.
 
-    A token of the vocabulary stands for itself. Others are repaired by one edit, long ones by two
-    that one deletion on either side bridges; only the nearest candidates stay, all of them if they
-    are as near. Tokens longer than any in the vocabulary cannot match and are left out.
+    A token of the vocabulary stands for itself. Others are repaired by one edit, long ones by any
+    two; only the nearest candidates stay, all of them if they are as near. Tokens longer than any in the vocabulary cannot match and are left out.
     """
     exact = tokens.join(small_side(vocab), (tokens.tok == vocab.vt) & (tokens.kind == vocab.k), "left").select(tokens.kind, "tok", "vt")
     same = exact.where("vt is not null").select("kind", "tok", "vt", F.lit(1.0).alias("sim"))
     unknown = exact.where(F.col("vt").isNull() & F.char_length("tok").between(ONE_EDIT, longest + 2)).select("kind", "tok")
-    typed = unknown.select("kind", "tok", F.explode(deletions(F.col("tok"))).alias("key"))
-    known = vocab.where(F.char_length("vt") >= ONE_EDIT).select(F.col("k").alias("kind"), "vt", F.explode(deletions(F.col("vt"))).alias("key"))
+    typed = unknown.select("kind", "tok", F.inline(deletion_keys(F.col("tok"))))
+    known = vocab.where(F.char_length("vt") >= ONE_EDIT).select(F.col("k").alias("kind"), "vt", F.inline(deletion_keys(F.col("vt")))).withColumnRenamed("depth", "known_depth")
     n = F.greatest(F.char_length("tok"), F.char_length("vt"))
     edits = F.levenshtein("tok", "vt")
-    swap = (edits == 2) & (F.char_length("tok") == F.char_length("vt")) & (F.array_sort(F.split("tok", "")) == F.array_sort(F.split("vt", "")))
+    swap = (edits == 2) & (F.col("depth") == 1) & (F.char_length("tok") == F.char_length("vt")) & (F.array_sort(F.split("tok", "")) == F.array_sort(F.split("vt", "")))
     cost = F.when((edits <= 1) | swap, 1).when((edits == 2) & (n >= TWO_EDITS), 2)
-    near = typed.join(small_side(known), ["kind", "key"]).select("kind", "tok", "vt").distinct().withColumn("cost", cost).where("cost is not null")
+    shared = typed.join(known.hint("merge"), ["kind", "key"])  # the estimate behind `small_side` does not see how many keys a token has
+    near = shared.groupBy("kind", "tok", "vt").agg(F.min(F.greatest("depth", "known_depth")).alias("depth")).withColumn("cost", cost).where("cost is not null")
     best = near.groupBy("kind", "tok").agg(F.min("cost").alias("least"))
     fixed = near.join(best, ["kind", "tok"]).where("cost = least").select("kind", "tok", "vt", (1 - F.col("cost") / n).alias("sim"))
     return same.unionByName(fixed)

@@ -49,6 +49,17 @@ def test_repairs_of_planted_typos(spark):
     assert sum(got.get(v) == h for h, v in typed) >= 0.97 * len(typed)
 
 
+def test_repairs_of_two_edits(spark):
+    """All pairs within two edits of a long token are found, whichever edits they are; short ones have one."""
+    vocab = spark.createDataFrame([("m", "fandkeindbe"), ("m", "nouxchet"), ("m", "graxler")], "k string, vt string")
+    # Two other letters, two lost, two added, one other and one lost, exchange at a distance, down to six letters; three edits, two of a short one.
+    near = {"fxndkeizdbe": "fandkeindbe", "andkeinde": "fandkeindbe", "fandqkeindbew": "fandkeindbe", "fanxkeinde": "fandkeindbe", "danfkeindbe": "fandkeindbe", "nouche": "nouxchet"}
+    far = ["fxndkeizdbx", "grxxlez", "fxndkeindbexx"]
+    tokens = spark.createDataFrame([("m", t) for t in [*near, *far]], "kind string, tok string")
+    got = {r["tok"]: (r["vt"], round(r["sim"], 4)) for r in canonical.repair(tokens, vocab, 11).collect()}
+    assert got == {t: (v, round(1 - 2 / max(len(t), len(v)), 4)) for t, v in near.items()}
+
+
 def test_values():
     assert pairs.value_of("Flat Rs 1000 off at x") == ("F", 100000) and pairs.value_of("11 per cent cashback") == ("P", 11000) and pairs.value_of("Earn 9x points") == ("X", 9000)
     assert pairs.value_of("₹६० off") == ("F", 6000) and pairs.value_of("Extra savings") is None and pairs.value_of(None) is None
