@@ -57,6 +57,19 @@ def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
+def own_exchange(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """`df` behind an exchange of its own, broadcast if it is small: for an aggregated side of a join on its key.
+
+    An aggregate is partitioned by its key already and joins without an exchange; then adaptive
+    execution cannot split a hot key of the other side. The rows are spread evenly first, so that the
+    join has to bring its own exchange; they are one row a key, so no partition is hot on this side.
+    """
+    sized = small_side(df, limit)
+    if sized is not df:
+        return sized
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Keep the shared folder named in `spark.checkpoint.dir`; set a local one only where none is named."""
     sc = spark.sparkContext
