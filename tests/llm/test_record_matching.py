@@ -60,6 +60,75 @@ def test_repairs_of_two_edits(spark):
     assert got == {t: (v, round(1 - 2 / max(len(t), len(v)), 4)) for t, v in near.items()}
 
 
+def test_candidates_through_any_word(spark):
+    """What is damaged or lost may be any word; an unlisted line of business is no addition."""
+    ref = [("m", "r", "Riverstone Outfitters", None), ("m", "b", "Blueharbor Electronics", None), ("m", "t", "Tea Pot", None), ("m", "z", "Zandora", None)]
+    want = {
+        "Rivarstane Outfitters": "r", "Bluxhaxbor Electronics": "b", "Rivrstne Outfitters": "r", "Tae Pot": "t", "Outfitters": "r", "the Outfitters store": "r", "Blueharbor": "b", "Zandora Ltd": "z", "Zandora, Connaught Place": "z",
+        "Zandora (Hill Road)": "z", "Zandora Porbandar": "z", "Riverstone Outfitters Hill Road": "r",
+        "Blueharbor Plumbing": None, "Blueharbor Dental Clinic": None, "Zandora Plumbing": None, "Riverstone Electronics": None, "Qwxtz Outfitters": None, "Plumbing": None,
+    }
+    values, places = spark.createDataFrame([("m", v) for v in want], "kind string, raw string"), spark.createDataFrame([("Porbandar;Pune",), (None,)], "word string")
+    got = {r["raw"]: r["canonical"] for r in canonical.map_values(values, canonical.reference_names(spark.createDataFrame(ref, NAMES)), places).collect()}
+    assert got == {v: e for v, e in want.items() if e}
+
+
+def edits(a, b):
+    """Edit distance by the textbook table, a swap of neighbours as one."""
+    rows = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            rows[i][j] = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                rows[i][j] = min(rows[i][j], rows[i - 2][j - 2] + 1)
+    return rows[-1][-1]
+
+
+def test_repair_recall_against_brute_force(spark):
+    """All reference tokens at the least distance in reach are found: one edit or swap, from eight letters on two."""
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdehikmnorstu") for _ in range(n))
+    vocab = sorted({word(rnd.choice([2, 3, 4, 5, 6, 7, 8, 9, 11])) for _ in range(250)})
+    typed = set()
+    for v in vocab * 3:
+        t = list(v)
+        for _ in range(rnd.choice([1, 1, 2])):
+            i = rnd.randrange(len(t))
+            how = rnd.randrange(4)
+            t[i : i + 1] = [[rnd.choice("xyz")], [], [t[i], rnd.choice("xyz")], [t[i]]][how] if len(t) > 2 else [t[i], "x"]
+            if how == 3 and i + 1 < len(t):
+                t[i], t[i + 1] = t[i + 1], t[i]
+        typed.add("".join(t))
+    typed = sorted(t for t in typed if len(t) > 1)
+    want = set()
+    for t in typed:
+        near = [(0 if t == v else 1 if (d := edits(t, v)) <= 1 else 2, v) for v in vocab if t == v or (d := edits(t, v)) <= 1 or (d == 2 and max(len(t), len(v)) >= canonical.TWO_EDITS)]
+        want |= {(t, v) for c, v in near if c == min(near)[0]}
+    tokens = spark.createDataFrame([("m", t) for t in typed], "kind string, tok string")
+    got = {(r["tok"], r["vt"]) for r in canonical.repair(tokens, spark.createDataFrame([("m", v) for v in vocab], "k string, vt string"), 11).collect()}
+    assert len(want) > 300 and len(got & want) >= 0.99 * len(want) and len(got & want) >= 0.99 * len(got)
+
+
+def test_hot_value_is_split(spark):
+    """A raw value that holds a third of all rows is split by adaptive execution where the rows meet the map."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in zip(names, ("-1", "4k", "4k", "false", "16"), strict=True):
+            spark.conf.set(n, v)
+        rows = spark.range(60000).repartition(8).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("raw"), F.sha2(F.col("id").cast("string"), 256).alias("record"))
+        mapped = rows.groupBy("raw").agg(F.max("record").alias("canonical"))
+        joined = rows.join(mapped.transform(lambda d: canonical.own_exchange(d, 0)), "raw", "left")
+        joined.write.format("noop").mode("overwrite").save()
+        plan = joined._jdf.queryExecution().executedPlan()
+        assert joined.count() == 60000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString(), plan
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
 def test_values():
     assert pairs.value_of("Flat Rs 1000 off at x") == ("F", 100000) and pairs.value_of("11 per cent cashback") == ("P", 11000) and pairs.value_of("Earn 9x points") == ("X", 9000)
     assert pairs.value_of("₹६० off") == ("F", 6000) and pairs.value_of("Extra savings") is None and pairs.value_of(None) is None
