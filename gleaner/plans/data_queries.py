@@ -19,8 +19,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_keys(spark: SparkSession, d: str) -> DataFrame:
     """Every child table of raw_records with surrogate keys: rows, parents and distinct keys of each."""
-    records = nested.parse_objects(table(spark, d, "raw_records").select("record_id", "payload").distinct(), "payload", nested.WRAPPERS, nested.MARKS)
-    rows = nested.child_rows(records, ["record_id"], nested.raw_levels(records), nested.TABLES)
+    raw = table(spark, d, "raw_records").select("record_id", "payload").distinct()
+    wrappers, levels = nested.raw_layout(raw)
+    rows = nested.child_rows(nested.parse_objects(raw, "payload", wrappers, nested.MARKS), ["record_id"], levels, nested.TABLES)
     return rows.groupBy("child_table").agg(F.count("*").alias("n_rows"), F.countDistinct("parent_key").alias("n_parents"), F.countDistinct("child_key").alias("n_keys"))
 
 

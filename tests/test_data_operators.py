@@ -120,6 +120,20 @@ def test_nested_infers_unknown_lists(spark):
     assert {r["parent_key"] for r in rows if r["child_table"] != "a"} <= parents
 
 
+def test_nested_schema_decides(spark, monkeypatch):
+    """Where records and lists stand comes from the inferred schema: wrappers of any name and depth, lists in any place; without the schema there are no rows."""
+    ev = [{"field": "f0", "value": ["x"]}]
+    deep = {"a": {"envelope": {"what ever": {"evidence_data": json.dumps(ev), "more": {"other_eligibility_rules": "r"}}}}}
+    df = raw(spark, [json.dumps({"evidence_data": ev}), json.dumps(deep), json.dumps({"x": {"y": 1}})])
+    one = {("evidence_data", -1, 0, "f0"), ("evidence_value", 0, 0, "x")}
+    assert cases(nested.raw_children(df)) == {("r0", *x) for x in one} | {("r1", *x) for x in one | {("other_eligibility_rules", -1, 0, "r")}}
+    # A list inside JSON text only.
+    text = raw(spark, [json.dumps({"evidence_data": json.dumps(ev)})])
+    assert cases(nested.raw_children(text)) == {("r0", *x) for x in one}
+    monkeypatch.setattr(nested, "merged_schema", lambda df, value: {})
+    assert nested.raw_children(df).count() == 0
+
+
 def test_nested_empty(spark):
     assert nested.raw_children(raw(spark, [])).count() == 0
 
