@@ -5,7 +5,7 @@ and prefixes of units are worked out on the vectors. The text grammar reads
 
     amount   := [currency] number [scale] [unit]
     number   := digits with group separators (any script) | number words
-    cap      := cap phrase, amount
+    cap      := lead [what is capped] [mark] [link words] amount
     rate     := points "per" amount, in either order | N "X" over a stated rate
 
 Texts are parsed in Arrow batches, each distinct text of a batch once; the rest is column work.
@@ -18,13 +18,17 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
+from math import isfinite
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.session import small_side
 
+#: A longer run of digits is no number.
+MOST_DIGITS = 300
+
 #: Base dimensions, in the order of a unit's exponents.
 DIMENSIONS = ("money", "points", "length", "mass", "time", "temperature")
 
@@ -98,7 +102,7 @@ class Reader:
 
     def number(self, i: int) -> tuple[Decimal, int] | None:
         s = self.at(i)
-        if s[:1].isdigit() or (s[:1] == "." and len(s) > 1):
+        if len(s) <= MOST_DIGITS and (s[:1].isdigit() or (s[:1] == "." and len(s) > 1)):
             return Decimal(s.replace(",", "")), i + 1
         total, part, j = 0, 0, i
         while (w := self.at(j)) in SMALL or w in BIG or (w in ("and", "-") and j > i and self.at(j + 1) in SMALL):
@@ -146,30 +150,33 @@ def points(u: Unit | None) -> bool:
     return u is not None and u.dims == UNITS["points"].dims
 
 
-# Phrases that begin a cap, longest first, and phrases that begin a least spend.
-CAP_PHRASES = [p.split() for p in (
-    "max discount :", "maximum discount :", "maximum discount of", "max discount of", "maximum cashback of", "max cashback of", "max cashback :", "maximum benefit of", "maximum benefit :", "maximum benefit", "max benefit", "maximum of", "max of", "max :", "maximum", "max",
-    "up to", "upto", "capped at", "capped to", "cap of", "cap at", "cap is", "cap :", "cap", "limit of", "limited to", "limit :", "ceiling of", "ceiling :", "ceiling", "not exceeding", "not more than", "no more than", "subject to a maximum of",
-)]
-CAP_PHRASES.sort(key=len, reverse=True)
-CAP_BY_FIRST = {first: [p for p in CAP_PHRASES if p[0] == first] for first in {p[0] for p in CAP_PHRASES}}
+# The words of a cap. A lead may be followed by what is capped, a mark and a link word.
+LEADS = [p.split() for p in ("max", "maximum", "up to", "upto", "as much as", "capped", "cap", "limit", "limited", "ceiling", "not exceeding", "not more than", "no more than", "not above")]
+CAPPED = ("discount", "discounts", "cashback", "cash", "back", "benefit", "benefits", "saving", "savings", "reward", "rewards", "instant", "total", "overall", "value", "amount", "off", "limit", "cap")
+MARKS, LINKS = (":", "-", "="), ("of", "at", "to", "is", "a", "up", "the")
+LEAD_BY_FIRST = {first: [p for p in LEADS if p[0] == first] for first in {p[0] for p in LEADS}}
 POINT_WORDS = {w for w, u in UNITS.items() if u.dims == UNITS["points"].dims}
 
 
+def cap_amount(r: Reader, i: int) -> tuple[Decimal, Unit | None, int] | None:
+    """The amount of a cap whose lead ends before `i`: [what is capped] [mark] [link words] amount."""
+    for words in (CAPPED, MARKS, LINKS):
+        i = skip(r, i, *words)
+    return r.amount(i)
+
+
 def cap_of(r: Reader) -> tuple[str, Decimal | None, Unit | None] | None:
     """('money', value, unit), ('bare', value, None) or ('points', ...): the first cap that the text states."""
     found = None
     for i in range(len(r.t)):
-        for phrase in CAP_BY_FIRST.get(r.t[i], ()):
-            if r.t[i : i + len(phrase)] != phrase:
+        for lead in LEAD_BY_FIRST.get(r.t[i], ()):
+            if r.t[i : i + len(lead)] != lead or (r.at(i - 1) in ("min", "minimum", "no")):
+                continue
+            if not (a := cap_amount(r, i + len(lead))):
                 continue
-            if r.at(i - 1) in ("min", "minimum", "no"):
-                break
-            if not (a := r.amount(i + len(phrase))):
-                break
             n, u, j = a
             if r.at(j) in ("%", "percent", "pct", "x", "×") or (r.at(j) == "per" and r.at(j + 1) == "cent"):
-                break
+                continue
             if r.at(j) == "reward" and r.at(j + 1) in UNITS or r.at(j) == "bonus":
                 j, u = j + 1, UNITS["points"]
             if money(u):
@@ -178,7 +185,6 @@ def cap_of(r: Reader) -> tuple[str, Decimal | None, Unit | None] | None:
                 return "points", n, u
             if u is None and found is None and not r.at(j).isalpha():
                 found = ("bare", n, None)
-            break
     return found
 
 
@@ -256,11 +262,17 @@ def unit_of(text: str | None) -> Unit | None:
 
 
 def to_int(x: Decimal) -> int:
-    return int(x.quantize(Decimal(1), ROUND_HALF_UP))
+    """The nearest whole number, halves up, of any size."""
+    return int(x.to_integral_value(ROUND_HALF_UP))
+
+
+def fits(n: int | None) -> bool:
+    """Whether a number can stand in a BIGINT column."""
+    return n is not None and abs(n) < 2**63
 
 
 def quantities_of(text: str | None, number: float | None, currency: str | None, amount_unit: str | None) -> tuple[int | None, int | None]:
-    """(cap in paise, thousandths of a point per Rs 100); None where the record states none."""
+    """(cap in paise, thousandths of a point per Rs 100); None where the record states none. An infinite number is none."""
     cap = rate = stated = None
     if text is not None and text.strip():
         r = Reader(text)
@@ -274,35 +286,53 @@ def quantities_of(text: str | None, number: float | None, currency: str | None,
         cap = None
     elif stated and money(unit):
         cap = to_int(stated[1] * unit.scale)
-    elif number is not None and number == number and money(unit):
+    elif number is not None and isfinite(number) and money(unit):
         cap = to_int(Decimal(repr(float(number))) * unit.scale)
     return cap, rate
 
 
-def offer_quantities(offers: DataFrame, sources: DataFrame) -> DataFrame:
-    """(offer_id, quantity, amount) of every offer that states a cap in money or points for a spend.
+def read_quantities(offers: DataFrame, sources: DataFrame) -> DataFrame:
+    """(offer_id, quantity, amount, beyond) of every offer that states a cap in money or points for a spend.
 
-    The unit of the cap is the one in the text, else `currency`, else the source's amount_unit; a
-    number without any unit, text that states no amount and caps in points give no row. Equal rows
-    come out once; offers that differ under one offer_id each give theirs. Nulls in any column,
-    blank and very long texts are read as what they hold.
+    `beyond` holds as text the amounts that no BIGINT can hold; `amount` is null there. Each distinct
+    text of a batch is parsed once.
     """
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[tuple, tuple] = {}
-            out = []
-            for oid, *key in b[["offer_id", "benefit_text", "maximum_benefit", "currency", "amount_unit"]].itertuples(index=False):
-                k = tuple(None if x is None or x != x else x for x in key)
+            out: list[tuple[str | None, str, int | None, str | None]] = []
+            for oid, *key in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                k = tuple(None if x != x else x for x in key)
                 if k not in seen:
                     seen[k] = quantities_of(*k)
                 for name, amount in zip(("cap_paise", "points_per_100_milli"), seen[k], strict=True):
-                    if amount is not None and abs(amount) < 2**63:
-                        out.append((oid, name, amount))
-            yield pd.DataFrame(out, columns=["offer_id", "quantity", "amount"])
+                    if amount is not None:
+                        out.append((oid, name, amount, None) if fits(amount) else (oid, name, None, f"{Decimal(amount):.6E}"))
+            columns = zip(*out, strict=True) if out else [()] * 4
+            types = (pa.string(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["offer_id", "quantity", "amount", "beyond"])
 
     units = sources.groupBy(F.trim("url").alias("url")).agg(F.max("amount_unit").alias("amount_unit"))
     stated = offers.select(
         F.col("identity.offer_id").alias("offer_id"), "benefit.benefit_text", "benefit.maximum_benefit", "benefit.currency", F.trim("source_url").alias("url")
     )
-    return stated.join(small_side(units), "url", "left").drop("url").mapInPandas(read, "offer_id string, quantity string, amount bigint").distinct()
+    read_columns = ("offer_id", "benefit_text", "maximum_benefit", "currency", "amount_unit")
+    return stated.join(small_side(units), "url", "left").select(*read_columns).mapInArrow(read, "offer_id string, quantity string, amount bigint, beyond string")
+
+
+def offer_quantities(offers: DataFrame, sources: DataFrame) -> DataFrame:
+    """(offer_id, quantity, amount) of every offer that states a cap in money or points for a spend.
+
+    The unit of the cap is the one in the text, else `currency`, else the source's amount_unit; a
+    number without any unit, text that states no amount and caps in points give no row. Equal rows
+    come out once; offers that differ under one offer_id each give theirs. Nulls in any column,
+    blank and very long texts are read as what they hold; an infinite number counts as not stated.
+    Amounts beyond BIGINT are left out here and reported by `quantities_beyond`.
+    """
+    return read_quantities(offers, sources).where("amount is not null").select("offer_id", "quantity", "amount").distinct()
+
+
+def quantities_beyond(offers: DataFrame, sources: DataFrame) -> DataFrame:
+    """(offer_id, quantity, beyond): the stated amounts that no BIGINT can hold, in scientific notation."""
+    return read_quantities(offers, sources).where("beyond is not null").select("offer_id", "quantity", "beyond").distinct()

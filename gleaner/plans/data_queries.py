@@ -13,6 +13,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return units.offer_quantities(table(spark, d, "offers"), table(spark, d, "sources"))
 
 
+def p3_beyond(spark: SparkSession, d: str) -> DataFrame:
+    """The report of stated amounts that no BIGINT can hold."""
+    return units.quantities_beyond(table(spark, d, "offers"), table(spark, d, "sources"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.raw_children(table(spark, d, "raw_records"))
 
@@ -47,7 +52,7 @@ def p7_integer_runs(spark: SparkSession, d: str) -> DataFrame:
     return orphans.integer_orphans(table(spark, d, "lineitem"), "l_orderkey", parents, "o_orderkey")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p5_keys, p6_found, p6_summary, p7_found, p7_report, p7_integer_runs)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_beyond, p5_found, p5_keys, p6_found, p6_summary, p7_found, p7_report, p7_integer_runs)}
 
 _DAY = """coalesce(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y-%m-%dT%H:%M:%S'), try_strptime(v, '%d/%m/%Y'), try_strptime(v, '%Y%m%d'), try_strptime(v, '%d-%b-%Y'), try_strptime(v, '%d %B %Y'))"""
 

@@ -5,6 +5,8 @@ import json
 import random
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from gleaner.operators import nested, orphans, snapshots, units
 from gleaner.plans import data_queries
@@ -170,6 +172,36 @@ def test_quantities(text, number, currency, source, cap, rate):
     assert units.quantities_of(text, number, currency, source) == (cap, rate)
 
 
+@pytest.mark.parametrize(
+    ("text", "cap"),
+    [
+        ("max discount Rs 500", 50000), ("maximum discount INR 500", 50000), ("max cashback Rs 200", 20000), ("max discount Rs. 1,50,000", 15000000), ("Max. savings - of Rs 75", 7500), ("maximum instant discount is Rs 1.5 lakh", 15000000),
+        ("max discount 10%", None), ("max 2 transactions", None), ("as much as ₹60", 6000), ("get cashback capped at Rs 1,200 a month", 120000), ("subject to a maximum of Rs 90", 9000), ("min. spend Rs 900, up to Rs 80 back", 8000),
+    ],
+)
+def test_caps(text, cap):
+    assert units.quantities_of(text, None, None, None)[0] == cap
+
+
+@given(st.text(alphabet="max upto cap of 019.,₹Rs/-% pointsperxkl lakh crore\n٣९²½", max_size=60), st.one_of(st.none(), st.floats()), st.sampled_from([None, "", "INR", "Rs '000", "crore", "paise", "?"]))
+def test_quantities_never_fail(text, number, unit):
+    for n in units.quantities_of(text, number, unit, unit):
+        assert n is None or isinstance(n, int)
+
+
+def test_quantities_beyond(spark):
+    """Amounts that no BIGINT holds are reported, the others come out; infinite numbers and endless digits are no amounts."""
+    big = "9" * 32
+    rows = [
+        ("a", f"max discount Rs {big}", None, None), ("b", None, 1e300, "INR"), ("c", None, float("inf"), "INR"), ("d", "up to Rs " + "1" * 5000, None, None), ("e", "up to Rs 5", None, None),
+        ("f", "up to Rs 92233720368547758", None, None), ("g", "up to Rs 92233720368547759", None, None), (None, None, None, None),
+    ]
+    offers = spark.createDataFrame([((i,), (t, n, c), "u", "clash") for i, t, n, c in rows], "identity struct<offer_id:string>, benefit struct<benefit_text:string,maximum_benefit:double,currency:string>, source_url string, amount string")
+    sources = spark.createDataFrame([("u", "INR")], "url string, amount_unit string")
+    assert cases(units.offer_quantities(offers, sources)) == {("e", "cap_paise", 500), ("f", "cap_paise", 9223372036854775800)}
+    assert {tuple(r)[:2] for r in units.quantities_beyond(offers, sources).collect()} == {(i, "cap_paise") for i in "abg"}
+
+
 def test_unit_vectors():
     rate = units.UNITS["points"] / units.UNITS["rs"]
     assert rate.dims[:2] == (-1, 1) and (rate * units.UNITS["rs"]).dims == units.UNITS["points"].dims
