@@ -2,7 +2,8 @@
 
 Integer parent keys are sorted and compressed into contiguous runs; a reference is matched to the
 nearest preceding run start (an as-of match) and is an orphan beyond that run's end. Text keys take
-part by their 64-bit hash, and the run then also keeps the text, which must be equal.
+part by their rank among all keys, of parents and references: there parents stand side by side until
+an orphan comes between, so that there are at most as many runs as orphans, and one more for each part.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import reference_key
+from gleaner.session import own_exchange, small_side
 
 #: Keys are cut into ranges of about this many parts, within which runs are matched; a run that crosses a range is cut too.
 RANGES = 1 << 12
@@ -108,8 +110,29 @@ def card_references(offers: DataFrame, bank_offers: DataFrame) -> DataFrame:
     return a.unionByName(b).select("table_name", "record_id", "field_name", reference_key(F.col("raw")).alias("reference"), "extracted_at").where("reference is not null")
 
 
-#: Bits below the range of a hashed text key.
-HASH_BITS = 52
+#: Bits below the part of a ranked text key; a part holds far fewer keys than 2 ** RANK_BITS.
+RANK_BITS = 40
+
+
+def ranked_keys(refs: DataFrame, parents: DataFrame, names: list[str]) -> DataFrame:
+    """(names, is_ref, is_parent, key) of each distinct text key of both sides, `key` being dense integers.
+
+    Keys are spread over parts by hash and ranked in order within a part, so no task sorts them all;
+    the part is the leading bits of `key`. A hot key is one row here.
+    """
+    n_parts = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = refs.select(*names, F.lit(1).alias("r"), F.lit(0).alias("p")).unionByName(parents.select(*names, F.lit(0).alias("r"), F.lit(1).alias("p")))
+    distinct = both.groupBy(*names).agg(F.max("r").alias("is_ref"), F.max("p").alias("is_parent")).withColumn("in_part", F.pmod(F.xxhash64(*names), F.lit(n_parts)))
+    rank = F.row_number().over(Window.partitionBy("in_part").orderBy(*names))
+    return distinct.withColumn("key", F.shiftleft("in_part", RANK_BITS) + rank).drop("in_part")
+
+
+def known_references(refs: DataFrame, parents: DataFrame, names: list[str]) -> DataFrame:
+    """The distinct text keys `names` of `refs` that lie in a run of parent keys; those beyond a run's end are orphans."""
+    keys = ranked_keys(refs, parents, names)
+    runs = parent_runs(keys.where("is_parent = 1").select("key"), "key", [], RANK_BITS)
+    asked = keys.where("is_ref = 1").select("key", *names)
+    return match_references(asked, runs, "key", RANK_BITS, []).where("hit is not null").select(*names)
 
 
 def card_orphans(offers: DataFrame, bank_offers: DataFrame, cards: DataFrame) -> DataFrame:
@@ -118,20 +141,13 @@ def card_orphans(offers: DataFrame, bank_offers: DataFrame, cards: DataFrame) ->
     missing: no such card; deleted: the card was retired at extracted_at; arrives_later: it was not
     listed yet. Where several cards share a key the reference is good if any of them was live, and of
     the reasons `deleted` goes first. A null extracted_at gives the period 'unknown' and only
-    `missing`. The distinct references are taken before the match, so one that many rows use costs
-    one row there; its rows meet the result in a join that AQE splits.
+    `missing`. Whether a card exists is found by the as-of match of distinct references to runs, and
+    those that do exist get its lifetimes; the references' rows then meet them in a join that AQE splits.
     """
     refs = card_references(offers, bank_offers)
-    hashed = F.xxhash64("field_name", "reference")
-    distinct = refs.select("field_name", "reference").distinct().withColumn("key", hashed)
-    parents = card_lifetimes(cards).withColumn("hash", F.xxhash64("kind", "key"))
-    # A hash is one key but for a collision; then the run keeps each of the texts.
-    named = parents.groupBy("hash").agg(F.collect_list(F.struct(F.concat_ws(":", "kind", "key").alias("name"), "lives")).alias("names"))
-    runs = parent_runs(named.select("hash", "names"), "hash", ["names"], HASH_BITS)
-    matched = match_references(distinct, runs, "key", HASH_BITS, ["names"])
-    name = F.concat_ws(":", "field_name", "reference")
-    lives = F.filter(F.col("hit.names"), lambda x: x["name"] == name)[0]["lives"]
-    known = matched.select("field_name", "reference", F.when(F.col("hit").isNotNull(), lives).alias("lives")).where("lives is not null")
+    parents = card_lifetimes(cards).withColumnsRenamed({"kind": "field_name", "key": "reference"})
+    names = ["field_name", "reference"]
+    known = own_exchange(known_references(refs, parents, names).join(small_side(parents), names))
     at = F.col("extracted_at")
     live = F.exists("lives", lambda x: (x["listed_at"].isNull() | (x["listed_at"] <= at)) & (x["retired_at"].isNull() | (x["retired_at"] > at)))
     gone = F.exists("lives", lambda x: F.coalesce(x["retired_at"] <= at, F.lit(False)))
@@ -139,15 +155,13 @@ def card_orphans(offers: DataFrame, bank_offers: DataFrame, cards: DataFrame) ->
         F.when(F.col("lives").isNull(), "missing").when(at.isNull() | F.coalesce(live, F.lit(False)), None).when(gone, "deleted").otherwise("arrives_later")
     )
     return (
-        refs.join(known, ["field_name", "reference"], "left")
+        refs.join(known, names, "left")
         .select("table_name", F.coalesce(F.date_format("extracted_at", "yyyy-MM"), F.lit("unknown")).alias("period"), "record_id", "field_name", "reference", reason.alias("reason"))
         .where("reason is not null")
         .distinct()
     )
 
 
-
-
 def orphan_report(orphans: DataFrame) -> DataFrame:
     """Orphans per table, period, field and reason: references, records and distinct keys."""
     return orphans.groupBy("table_name", "period", "field_name", "reason").agg(

@@ -79,6 +79,21 @@ def test_runs_compress(spark):
     assert runs == {(10, 19), (25, 26), (40, 40)}
 
 
+def test_runs_of_text_keys_compress(spark, data):
+    """On the given cards and offers: far fewer runs than cards; with runs of one key each the same, without runs all are orphans."""
+    table = lambda n: spark.read.parquet(f"{data}/{n}.parquet")
+    refs, parents = orphans.card_references(table("offers"), table("bank_offers")), orphans.card_lifetimes(table("cards")).withColumnsRenamed({"kind": "field_name", "key": "reference"})
+    names = ["field_name", "reference"]
+    keys = orphans.ranked_keys(refs, parents, names)
+    runs = orphans.parent_runs(keys.where("is_parent = 1").select("key"), "key", [], orphans.RANK_BITS)
+    n_orphans, n_parents = keys.where("is_parent = 0").count(), keys.where("is_parent = 1").count()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert runs.count() <= n_orphans + parts and runs.count() < n_parents / 2
+    want = {tuple(r) for r in refs.select(*names).distinct().join(parents.select(*names), names).collect()}
+    assert {tuple(r) for r in orphans.known_references(refs, parents, names).collect()} == want
+    assert orphans.match_references(keys.where("is_ref = 1").select("key", *names), runs.limit(0), "key", orphans.RANK_BITS, []).where("hit is not null").count() == 0
+
+
 def test_card_orphans(spark):
     ident = "identity struct<card_id:string,issuer:string,official_url:string,card_name:string,product_family:string,personal_business:string>, product_family_id string, listed_at timestamp_ntz, retired_at timestamp_ntz"
     y = lambda n: dt.datetime(n, 1, 1)
