@@ -40,7 +40,8 @@ def budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | None, exac
     max_repeats counts. A source's budget is its share of the total, or all that its repeats allow if
     that is less. The total is `total_tokens`, by default the size of all target sources together;
     with `exact_shares` it is the largest at which every source that has text reaches its share.
-    `epochs` complete passes are followed by documents of `rest` tokens.
+    `epochs` complete passes are followed by documents of `rest` tokens. A source is `reachable` if its
+    repeats allow its share of the total.
     """
     available = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("n_docs"))
     wanted = (
@@ -60,6 +61,7 @@ def budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | None, exac
         total = F.lit(float(total_tokens))
     return (
         rows.withColumn("total", F.coalesce(total, F.lit(0.0)))
+        .withColumn("reachable", (F.col("available_tokens") > 0) & (cap >= F.floor(F.col("total") * F.col("target_share") + 1e-6)))
         .withColumn("budget_tokens", F.least(cap, F.floor(F.col("total") * F.col("target_share") + 1e-6)).cast("long"))
         .withColumn("epochs", F.when(F.col("available_tokens") > 0, F.floor(F.col("budget_tokens") / F.col("available_tokens"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("budget_tokens") - F.col("epochs") * F.col("available_tokens"))
@@ -71,8 +73,10 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", seed: int
     """(mixture, report): each chosen document with its number of copies, and the shares reached.
 
     mixture: key, source, n_tokens, copies. report: one row for each target source, those without
-    text included: target_share, max_repeats, available_tokens, budget_tokens, mixed_tokens, copies,
-    actual_share (of all mixed tokens), short_tokens (its share of the whole mixture that it lacks).
+    text included: target_share, max_repeats, available_tokens, reachable, budget_tokens, mixed_tokens,
+    copies, due_share (the target share if all are reachable, else that among the budgets, as what
+    others lack raises it), actual_share (of all mixed tokens; it differs from due_share by no more
+    than a document of each source), short_tokens (its share of the whole mixture that it lacks).
     Documents without a label or of no target source, null and empty texts take no part. The same
     seed gives the same mixture whatever the partitioning; equal keys go by document key. A large
     source is cut into RANGES ranges by key, whose sums give each range its place; only rows of the
@@ -99,7 +103,8 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", seed: int
     everything = F.sum("mixed_tokens").over(Window.partitionBy())  # over the target sources only
     report = plan.join(reached, "source", "left").na.fill(0, ["mixed_tokens", "copies"])
     report = report.select(
-        "source", "target_share", "max_repeats", "n_docs", "available_tokens", "budget_tokens", "mixed_tokens", "copies",
+        "source", "target_share", "max_repeats", "n_docs", "available_tokens", "reachable", "budget_tokens", "mixed_tokens", "copies",
+        F.round(F.col("budget_tokens") / F.sum("budget_tokens").over(Window.partitionBy()), 6).alias("due_share"),
         F.round(F.col("mixed_tokens") / everything, 6).alias("actual_share"),
         F.greatest(F.lit(0), F.round(F.col("target_share") * everything).cast("long") - F.col("mixed_tokens")).alias("short_tokens"),
     )

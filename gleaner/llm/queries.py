@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import FILLERS
 from gleaner.llm import bpe, canonical, mixing, pairs, spans, survivors
 from gleaner.sources.tables import table
 
@@ -40,6 +39,12 @@ def p4_layers(spark: SparkSession, d: str) -> DataFrame:
     return survivors.layer_sizes(survivors.judged_offers(table(spark, d, "offers")))
 
 
+def p4_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """By field and layer: how often the skyline by number of fields would give another record than the result asked for."""
+    found = survivors.layer_conflicts(survivors.offer_candidates(table(spark, d, "offers")), list(survivors.FIELDS))
+    return found.groupBy("field_name", "layer").agg(F.count("*").alias("n_fields"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
 
@@ -51,25 +56,29 @@ def p8_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+    """The largest mixture in which every target source that has text reaches its share."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), exact_shares=True)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+    """The shares of that mixture, with the sources that no text can be found for."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), exact_shares=True)[1]
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_matches, p4_found, p4_records, p4_layers, p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_matches, p4_found, p4_records, p4_layers, p4_conflicts, p8_ids, p8_summary, p9_mix, p9_shares, p10_found)}
 
-_FILLERS = ", ".join(f"'{x}'" for x in FILLERS)
-_TIER = "position(regexp_extract(upper(trim(source_tier, E' \\n\\t')), '^(?:TIER[ -]*)?([SABCD])$', 1) IN 'SABCD')"
+# Written from the statement of the problem, not from the operator: what says that nothing is known, filler dates, tiers.
+_NOTHING = "'-', '--', '---', '?', '??', '???', '.', 'n.a.', 'n.a', 'n/a', 'na', 'nil', 'none', 'not applicable', 'not available', 'not known', 'not specified', 'null', 'nan', 'tba', 'tbc', 'tbd', 'to be announced', 'to be confirmed', 'to be decided', 'to be updated', 'unknown', 'undefined', 'unspecified', 'xx', 'xxx'"
+_NO_DATES = "'0001-01-01', '1900-01-01', '1970-01-01', '1999-12-31', '2099-12-31', '2999-12-31', '9999-12-31'"
+_TIER = "list_position(['S', 'A', 'B', 'C', 'D'], regexp_replace(upper(source_tier), 'TIER|[^A-Z]', '', 'g'))"
 
 
 def _good(path: str) -> str:
-    return f"({path} IS NOT NULL AND lower(trim({path}, E' \\n\\t')) NOT IN ('', {_FILLERS}))"
+    return f"({path} IS NOT NULL AND lower(trim({path}, E' \\n\\t')) NOT IN ('', {_NOTHING}))"
 
 
 _P4 = " UNION ALL ".join(
@@ -78,7 +87,7 @@ _P4 = " UNION ALL ".join(
         "title": _good("identity.title"),
         "description": _good("identity.description"),
         "coupon_code": _good("redemption.coupon_code"),
-        "valid_until": f"(validity.valid_until IS NOT NULL AND CAST(validity.valid_until AS VARCHAR) NOT IN ({', '.join(repr(x) for x in survivors.FILLER_DATES)}))",
+        "valid_until": f"(validity.valid_until IS NOT NULL AND CAST(validity.valid_until AS VARCHAR) NOT IN ({_NO_DATES}))",
         "evidence_data": f"len(list_filter(evidence_data, lambda e: {_good('e.evidence')})) > 0",
         "contributing_sources": f"len(list_filter(contributing_sources, lambda e: {_good('e')})) > 0",
     }.items()
@@ -87,7 +96,7 @@ _P4 = " UNION ALL ".join(
 ORACLE: dict[str, str] = {
     "p4_found": f"""
 WITH r AS ({_P4}),
-t AS (SELECT *, CASE WHEN regexp_extract(upper(trim(source_tier, E' \\n\\t')), '^(?:TIER[ -]*)?([SABCD])$', 1) IN ('', NULL) OR source_tier IS NULL THEN 9 ELSE {_TIER} END AS tier FROM r WHERE g IS NOT NULL AND i IS NOT NULL AND g IN (
+t AS (SELECT *, coalesce({_TIER}, 9) AS tier FROM r WHERE g IS NOT NULL AND i IS NOT NULL AND g IN (
   SELECT identity.canonical_offer_id FROM offers GROUP BY 1 HAVING count(DISTINCT identity.offer_id) > 1))
 SELECT g AS canonical_offer_id, f AS field_name, i AS offer_id
 FROM (SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY tier, v DESC NULLS LAST, i) AS n FROM t WHERE ok) WHERE n = 1

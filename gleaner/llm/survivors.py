@@ -6,7 +6,8 @@ all three and better in one. The records that none dominates form the first laye
 only by them the second, and so on. Each field takes its value from the first layer that has a usable
 one, there by the policy: best tier, then latest, then smallest id. As completeness is compared as a
 set, a field's best record can only be dominated by one that is better by the policy and usable too,
-so the layers give exactly the policy's record.
+so the layers give exactly the policy's record. With completeness as a count (`by_count`) it need not
+stand in the first layer, and `layer_conflicts` reports where the layers then give another record.
 """
 
 from __future__ import annotations
@@ -93,16 +94,19 @@ def candidates(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_layers(records: Column) -> Column:
+def with_layers(records: Column, by_count: bool = False) -> Column:
     """The records, which stand best first, with the dominance layer of each, from 1 on.
 
     A record that dominates another stands before it, so one pass in order gives each layer: one more
-    than the highest among its dominators.
+    than the highest among its dominators. Completeness is the set of usable fields, or how many they are.
     """
     empty = F.array().cast("array<struct<trust:int,age:bigint,id:string,mask:int,layer:int>>")
 
+    def as_complete(a: Column, x: Column) -> Column:
+        return F.bit_count(a) >= F.bit_count(x) if by_count else a.bitwiseAND(x) == x
+
     def add(seen: Column, x: Column) -> Column:
-        over = F.filter(seen, lambda a: (a["mask"].bitwiseAND(x["mask"]) == x["mask"]) & ((a["age"] < x["age"]) | ((a["age"] == x["age"]) & (a["id"] <= x["id"]))))
+        over = F.filter(seen, lambda a: as_complete(a["mask"], x["mask"]) & ((a["age"] < x["age"]) | ((a["age"] == x["age"]) & (a["id"] <= x["id"]))))
         layer = 1 + F.coalesce(F.array_max(F.transform(over, lambda a: a["layer"])), F.lit(0))
         return F.concat(seen, F.array(F.struct(x["trust"].alias("trust"), x["age"].alias("age"), x["id"].alias("id"), x["mask"].alias("mask"), layer.alias("layer"))))
 
@@ -138,19 +142,34 @@ def layer_sizes(rows: DataFrame) -> DataFrame:
     return found.groupBy(F.col("layer").cast("int").alias("layer")).agg(F.sum("n_records").alias("n_records"))
 
 
-def surviving_fields(groups: DataFrame, fields: list[str]) -> DataFrame:
-    """(grp, field_name, id, layer) of the record whose value survives; no row if no record has one."""
+def surviving_fields(groups: DataFrame, fields: list[str], by_count: bool = False) -> DataFrame:
+    """(grp, field_name, id, layer) of the record whose value survives; no row if no record has one.
+
+    A field's value is that of the first layer that has a usable one, and there of the best record by
+    the policy. So a record in a later layer fills what no record of the layers before it has.
+    """
 
     def pick(i: int, name: str) -> Column:
         have = F.filter("layered", lambda r: r["mask"].bitwiseAND(1 << i) != 0)
         best = F.array_min(F.transform(have, lambda r: F.struct(r["layer"].alias("layer"), r["trust"].alias("trust"), r["age"].alias("age"), r["id"].alias("id"))))
         return F.struct(F.lit(name).alias("field_name"), best.alias("best"))
 
-    layered = groups.select("grp", with_layers(F.col("records")).alias("layered"))
+    layered = groups.select("grp", with_layers(F.col("records"), by_count).alias("layered"))
     picks = F.array(*[pick(i, n) for i, n in enumerate(fields)])
     return layered.select("grp", F.inline(picks)).where("best is not null").select("grp", "field_name", F.col("best.id").alias("id"), F.col("best.layer").alias("layer"))
 
 
+def layer_conflicts(groups: DataFrame, fields: list[str]) -> DataFrame:
+    """(grp, field_name, by_policy, by_count, layer): where completeness as a count gives another record than the policy.
+
+    There a less trusted record stands in an earlier layer because it holds more fields, not because
+    it is better in this one. `layer` is the layer by count of the record taken.
+    """
+    count = surviving_fields(groups, fields, by_count=True).select("grp", "field_name", F.col("id").alias("by_count"), "layer")
+    policy = surviving_fields(groups, fields).select("grp", "field_name", F.col("id").alias("by_policy"))
+    return policy.join(count, ["grp", "field_name"]).where("by_policy <> by_count").select("grp", "field_name", "by_policy", "by_count", "layer")
+
+
 def judged_offers(offers: DataFrame) -> DataFrame:
     return judged(
         offers, F.col("identity.canonical_offer_id"), F.col("identity.offer_id"), tier_rank(F.col("source_tier")).cast("int"), local_micros(F.col("last_verified_at")), usable_offer_fields()

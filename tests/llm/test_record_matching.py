@@ -246,6 +246,15 @@ def test_layers(spark):
     assert layers((0, 1, "a", 3), (1, 2, "b", 3), (2, 3, "c", 1), (4, 9, "d", 4)) == {"a": 1, "b": 2, "c": 3, "d": 1}
 
 
+def test_later_layers_fill_fields(spark):
+    """By count, a field that no record of the first layer has comes from the second, and conflicts with the policy are reported."""
+    # a dominates b; only b has field 2. c holds more than d but is trusted less: by count it goes before d for field 0.
+    groups = spark.createDataFrame([("g", [(0, 1, "a", 3), (1, 2, "b", 4)]), ("h", [(0, 1, "x", 6), (1, 3, "d", 1), (2, 2, "c", 7)])], "grp string, records array<struct<trust:int,age:bigint,id:string,mask:int>>")
+    got = {(r["grp"], r["field_name"]): (r["id"], r["layer"]) for r in survivors.surviving_fields(groups, ["f0", "f1", "f2"], by_count=True).collect()}
+    assert got == {("g", "f0"): ("a", 1), ("g", "f1"): ("a", 1), ("g", "f2"): ("b", 2), ("h", "f0"): ("c", 1), ("h", "f1"): ("x", 1), ("h", "f2"): ("x", 1)}
+    assert [tuple(r) for r in survivors.layer_conflicts(groups, ["f0", "f1", "f2"]).collect()] == [("h", "f0", "d", "c", 1)]
+
+
 def brute_layers(rows):
     """Layers of all distinct (grp, id, trust, age, mask), peeled off one after another."""
     over = lambda a, x: a != x and a[0] == x[0] and a[2] <= x[2] and (a[3], a[1]) <= (x[3], x[1]) and a[4] & x[4] == x[4]

@@ -126,6 +126,20 @@ def test_mix_exact_shares(spark):
     assert abs(r["big"]["mixed_tokens"] / r["small"]["mixed_tokens"] - 2) < 0.1
 
 
+def test_mix_reaches_every_reachable_share(spark, data):
+    """On the given tables each source with text has its share of the planned total to within one document; the others are reported."""
+    docs, targets = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/mix_targets.parquet")
+    mixture, report = mixing.mix(docs, targets, exact_shares=True)
+    rows, largest = report.collect(), {r["source"]: r["n"] for r in mixture.groupBy("source").agg(F.max("n_tokens").alias("n")).collect()}
+    total = min(r["available_tokens"] * r["max_repeats"] / r["target_share"] for r in rows if r["available_tokens"])
+    for r in rows:
+        assert r["reachable"] == (r["available_tokens"] > 0)
+        assert abs(r["mixed_tokens"] - (r["target_share"] * total if r["reachable"] else 0)) <= largest.get(r["source"], 0) + 1
+    reachable = [r for r in rows if r["reachable"]]
+    mixed = sum(r["mixed_tokens"] for r in reachable)
+    assert all(abs(r["actual_share"] - r["due_share"]) <= sum(largest.values()) / mixed for r in reachable)
+
+
 def test_mix_weights_order(spark):
     """A document of twice the weight is drawn about as often as the method says."""
     n = 4000
