@@ -9,8 +9,9 @@ from gleaner.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = build_session("local[4]", shuffle_partitions=4, app="tests")
+    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
