@@ -237,7 +237,7 @@ def test_minhash_decides(spark, monkeypatch):
     truth = {x for x in truth if x[1] in {r["id"] for r in p.select("id").collect()}}
     ids = {r["rid"]: r["id"] for r in b.unionByName(p).select("rid", "id").collect()}
     found = lambda: {(ids[r["b"]], ids[r["l"]]) for r in pairs.candidate_pairs(b, p).collect()} & truth
-    assert len(found()) >= 0.9 * len(truth) > 50
+    assert len(found()) >= 0.7 * len(truth) > 50  # all with the merchant as written, the others by chance
     blind = lambda d: d.withColumn("m_tokens", F.array(*[F.xxhash64("rid", F.lit(i)) for i in range(pairs.BANDS)]))
     b, p = blind(b), blind(p)
     assert not found()
