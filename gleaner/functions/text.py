@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -132,3 +133,37 @@ def split_list(c: Column, separators: str = ",;|") -> Column:
 def json_path(c: Column, path: str, default: str | None = None) -> Column:
     """The text at a dotted path (a.b[0].c) of a JSON text; missing, null or unreadable gives the default."""
     return F.coalesce(F.try_variant_get(F.try_parse_json(c), f"$.{path}", "string"), F.lit(default))
+
+
+# --- URLs, and numbers as text ------------------------------------------------------------------------
+
+
+@F.pandas_udf(StringType())
+def _joined(href: pd.Series, base: pd.Series) -> pd.Series:
+    def one(h: str | None, b: str | None) -> str | None:
+        try:
+            return None if h is None or not h.strip() else urljoin(b or "", h.strip()).replace(" ", "%20")
+        except ValueError:
+            return None
+
+    return pd.Series([one(h, b) for h, b in zip(href, base, strict=True)], dtype=object)
+
+
+def absolutise(href: Column, base: Column) -> Column:
+    """A link as an absolute URL against the page's own, blanks as %20; null for none and for one that cannot be read. No built-in expression resolves links."""
+    return F.when(href.rlike(r"^[a-z][a-z0-9+.-]*://[^ ]+$") & ~href.contains("/."), href).otherwise(_joined(href, base))
+
+
+def whole_number(c: Column) -> Column:
+    """A number without decimals, halves to even, thousands apart by commas."""
+    return F.format_number(c, 0)
+
+
+def short_number(c: Column) -> Column:
+    """A number as short as it can be written: 5.0 as 5, at most four decimals."""
+    return F.regexp_replace(F.format_string("%.4f", c), r"\.?0+$", "")
+
+
+def percent_text(c: Column) -> Column:
+    """A share as whole percents."""
+    return F.concat(F.format_number(c * 100, 0), F.lit("%"))

@@ -111,6 +111,25 @@ def extract_all(df: DataFrame, html: str, keep: Sequence[str], root: str, mappin
     return per_document(df, html, keep, fields, read)
 
 
+def extract_first_root(df: DataFrame, html: str, keep: Sequence[str], roots: Sequence[str], mapping: Mapping[str, Any]) -> DataFrame:
+    """`extract_all` below the first of several root selectors that matches anything in a document, with that selector as `root`."""
+    fields = [StructField("root", StringType()), StructField("pos", IntegerType()), *[_field(n, r) for n, r in mapping.items() if isinstance(r, Mapping)]]
+
+    def read() -> Callable[[str | None], list[dict[str, Any]]]:
+        m, selectors = Mapper(mapping), [(r, Selector(r)) for r in roots]
+
+        def make(doc: str | None) -> list[dict[str, Any]]:
+            tree = parse(doc)
+            for name, s in selectors:
+                if found := s.select(tree):
+                    return [{"root": name, "pos": i} | m.record(e) for i, e in enumerate(found)]
+            return []
+
+        return make
+
+    return per_document(df, html, keep, fields, read)
+
+
 _CELL = StructType([StructField("name", StringType()), StructField("value", StringType())])
 
 

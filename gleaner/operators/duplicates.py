@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.session import own_exchange
+
 
 def _keyed(keys: Sequence[str]) -> Column:
     """Whether a row has a key at all: not all of its parts are null."""
@@ -32,6 +34,33 @@ def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def duplicate_rows(df: DataFrame, keys: Sequence[str] | Column, row: str) -> DataFrame:
+    """(row, n_rows, first_row, redundant) of each row of a key held twice or more; `keys` are columns (all null: no key) or an expression.
+
+    first_row is the least `row` of the group, redundant says that a row is not that one. The groups
+    are counted with a combine before the shuffle and joined back, so none is collected.
+    """
+    parts = [keys.alias("__k0")] if isinstance(keys, Column) else [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    names = [f"__k{i}" for i in range(len(parts))]
+    keyed = df.select(F.col(row).alias("__row"), *parts).where(_keyed(names))
+    groups = own_exchange(keyed.groupBy(*[F.col(n).alias(f"g{n}") for n in names]).agg(F.count("*").alias("n_rows"), F.min("__row").alias("first_row")).where("n_rows > 1"))
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"g{n}"))
+    return keyed.join(groups, same).select(F.col("__row").alias(row), "n_rows", "first_row", (F.col("__row") != F.col("first_row")).alias("redundant"))
+
+
+def merge_rows(df: DataFrame, keys: Sequence[str], order: str, merge: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row for each key: `merge` maps a column to an aggregate in which order does not count, the others are of the first row by `order`.
+
+    Everything combines before the shuffle: no group is held together.
+    """
+    rest = [c for c in df.columns if c not in merge]
+    first = F.min(F.struct(F.col(order).alias("__order"), F.struct(*[F.col(c) for c in rest]).alias("__row"))).alias("__first")
+    out = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(first, *[f(F.col(c)).alias(f"__m_{c}") for c, f in merge.items()])
+    return out.select(*[(F.col(f"__m_{c}") if c in merge else F.col(f"__first.__row.{c}")).alias(c) for c in df.columns])
+
+
 def first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The first row of each key by `order` (ties: the least row), and every row without a key.
 
@@ -45,8 +74,8 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 def fold(df: DataFrame, keys: Sequence[str], order: str, merge: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
     """One row for each key: the columns of `merge` folded from left to right in `order`, the others of the first row.
 
-    merge maps a column to a function of (value so far, next value). For folds in which order counts;
-    where it does not, an aggregate is better, as a fold holds the rows of one key together.
+    merge maps a column to a function of (value so far, next value). Only for folds in which order
+    counts, as the rows of one key are held together; where it does not, `merge_rows` is the way.
     """
     row = F.struct(F.col(order).alias("__order"), *[F.col(c) for c in df.columns if c != order])
     rows = F.array_sort(F.collect_list(row))

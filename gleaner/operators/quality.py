@@ -59,14 +59,36 @@ def distributions(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rules:
-    """What a record must hold: paths that are required (not null), not empty, of an enumeration, and recommended ones."""
+    """What a record must hold: paths that are required (not null), not empty, of a type (a Spark type's name), of an enumeration, and recommended ones.
+
+    A type is known where the table is read; for a VARIANT it is checked for each value.
+    """
 
     required: Sequence[str] = ()
     non_empty: Sequence[str] = ()
+    types: Mapping[str, str] = field(default_factory=dict)
     enums: Mapping[str, Sequence[str]] = field(default_factory=dict)
     recommended: Sequence[str] = ()
 
 
+# The kinds of VARIANT values of a type.
+VARIANT_KINDS = {"string": "^STRING", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)", "boolean": "^BOOLEAN", "array": "^ARRAY", "object": "^OBJECT", "date": "^DATE"}
+
+
+def _of_type(df: DataFrame, path: str, name: str) -> Column:
+    kind = leaf_type(df, path)
+    if kind.typeName() == "variant":
+        return F.schema_of_variant(F.col(path)).rlike(VARIANT_KINDS[name])
+    groups = {"number": T.NumericType, "object": (T.StructType, T.MapType), "array": T.ArrayType}
+    return F.lit(isinstance(kind, groups[name]) if name in groups else kind.typeName() == name)
+
+
+def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """(name, n): how many rows meet each condition, all in one pass; null does not."""
+    counts = df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in conditions])))
+
+
 def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """`df` with ARRAY<STRING> `errors` and `warnings`, in the order of the rules, and BOOLEAN `valid`. No row is dropped.
 
@@ -74,6 +96,7 @@ def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """
     errors = [F.when(F.col(p).isNull(), f"missing: {p}") for p in rules.required]
     errors += [F.when(F.col(p).isNotNull() & ~populated(df, p), f"empty: {p}") for p in rules.non_empty]
+    errors += [F.when(F.col(p).isNotNull() & ~_of_type(df, p, t), f"not {t}: {p}") for p, t in rules.types.items()]
     errors += [F.when(F.col(p).isNotNull() & ~F.col(p).cast("string").isin(*allowed), F.concat(F.lit(f"not allowed: {p}="), F.col(p).cast("string"))) for p, allowed in rules.enums.items()]
     warnings = [F.when(~populated(df, p), f"recommended: {p}") for p in rules.recommended]
     none = F.array().cast("array<string>")

@@ -87,8 +87,14 @@ def groups_by_lang(spark: S, d: str) -> DataFrame:
     return quality.group_counts(table(spark, d, "documents"), "lang")
 
 
+DISTRIBUTIONS = {
+    "issuer": "identity.issuer", "network": "identity.network", "tier": "source_tier", "verification": "quality.verification_status", "lifecycle": "lifecycle_status", "type": "benefit.benefit_type",
+    "nature": "benefit.benefit_nature", "conflict": "quality.conflict_status", "status": "validity.status",
+}
+
+
 def offer_distributions(spark: S, d: str) -> DataFrame:
-    return quality.distributions(table(spark, d, "offers"), {"issuer": "identity.issuer", "tier": "source_tier", "type": "benefit.benefit_type", "status": "validity.status"})
+    return quality.distributions(table(spark, d, "offers"), DISTRIBUTIONS)
 
 
 OFFER_RULES = quality.Rules(
@@ -109,10 +115,10 @@ def first_documents(spark: S, d: str) -> DataFrame:
 
 
 def folded_orders(spark: S, d: str) -> DataFrame:
-    """Orders of a customer folded in order of key: cents summed, the rest of the first."""
+    """Orders of a customer merged: cents summed, the rest of the first by key."""
     cents = F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", cents, "o_orderpriority")
-    return duplicates.fold(o, ["o_custkey"], "o_orderkey", {"cents": lambda a, b: a + b})
+    return duplicates.merge_rows(o, ["o_custkey"], "o_orderkey", {"cents": F.sum})
 
 
 def union_of_sources(spark: S, d: str) -> DataFrame:
@@ -225,7 +231,7 @@ SELECT DISTINCT ingest_seq, CASE WHEN regexp_matches(text, '(?i)\\bemi\\b') THEN
     "completeness_documents": f"SELECT count(*) AS n_rows, round(avg(s), 4) AS mean, min(s) AS lowest, max(s) AS highest, count_if(s < 0.5) AS below_half FROM (SELECT ({_DOCS4}) / 4.0 AS s FROM documents)",
     "groups_by_lang": "SELECT coalesce(lang, 'None') AS value, count(*) AS n FROM documents GROUP BY 1",
     "offer_distributions": " UNION ALL ".join(
-        f"SELECT '{n}' AS field, coalesce({p}, 'None') AS value, count(*) AS n FROM offers GROUP BY 2" for n, p in {"issuer": "identity.issuer", "tier": "source_tier", "type": "benefit.benefit_type", "status": "validity.status"}.items()
+        f"SELECT '{n}' AS field, coalesce({p}, 'None') AS value, count(*) AS n FROM offers GROUP BY 2" for n, p in DISTRIBUTIONS.items()
     ),
     "validation_offers": """
 SELECT count(*) AS n_rows, count_if(ok) AS n_valid, count_if(NOT ok) AS n_invalid, count_if(warned) AS n_warned FROM (

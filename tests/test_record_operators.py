@@ -128,7 +128,7 @@ def test_merchants(spark):
         [(1, "BigBasket Pvt Ltd", None, "SBI Card"), (2, "BigBasket", "grocery", "HDFC Bank"), (3, "bigbasket", "fashion", "SBI Card"), (4, None, None, "Axis Bank"), (5, "Myntra", None, "Axis Bank")],
         "seq int, name string, category string, issuer string",
     )
-    dim = merchants.merchant_dimension(m)
+    dim = merchants.merchant_dimension(m, alias_lists=True)
     r = {x["merchant_id"]: x for x in dim.collect()}
     assert set(r) == {"m_bigbasket", "m_myntra"} and r["m_bigbasket"]["aliases"] == ["BigBasket Pvt Ltd", "BigBasket", "bigbasket"] and r["m_bigbasket"]["merchant_category"] == "GROCERY"
     seen = {x["seq"]: x["merchant_category"] for x in merchants.resolve_mentions(m, dim).collect()}
