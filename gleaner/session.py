@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     ship_package(spark)
@@ -71,9 +73,28 @@ def own_exchange(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the shared folder named in `spark.checkpoint.dir`; set a local one only where none is named."""
+    """Keep the shared folder named in `spark.checkpoint.dir`; set a local one only on a local master that names none.
+
+    Elsewhere a folder of one machine would be lost with it, so a missing name is an error.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="gleaner-checkpoint-"))
+
+
+def ship_file(spark: SparkSession, path: str) -> None:
+    """Give a file of the driver to the workers of every executor, once for each Spark context; nothing if the driver has none."""
+    sc = spark.sparkContext
+    known = getattr(sc, "_gleaner_files", set())
+    if path not in known and Path(path).is_file():
+        sc.addFile(path)
+        sc._gleaner_files = known | {path}
+
+
+def shipped(path: str) -> str:
+    """Within a worker: the path itself if this machine has it, else the file that the driver gave."""
+    return path if Path(path).is_file() else SparkFiles.get(Path(path).name)
