@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.session import ship_file, shipped
+
 #: Folder of the public vocabularies; the files stay there.
 TOKENIZERS = os.environ.get("GLEANER_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.json"
@@ -150,8 +152,8 @@ class PairIndexEncoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PairIndexEncoder:
-    """The encoder of a vocabulary file, read once in each worker."""
-    return PairIndexEncoder(path)
+    """The encoder of a vocabulary file, read once in each worker: where the file lies, else as the driver gave it."""
+    return PairIndexEncoder(shipped(path))
 
 
 def encode(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY, folder: str = TOKENIZERS) -> DataFrame:
@@ -161,6 +163,7 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY, fol
     are read: no shuffle, and only the two columns are scanned.
     """
     path = os.path.join(folder, vocabulary)
+    ship_file(df.sparkSession, path)
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +184,7 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY, fol
 def count_tokens(df: DataFrame, text: str, into: str, vocabulary: str = VOCABULARY, folder: str = TOKENIZERS) -> DataFrame:
     """`df` without `text`, with the BIGINT column `into`: the number of ids of the text, 0 for null and empty ones."""
     path = os.path.join(folder, vocabulary)
+    ship_file(df.sparkSession, path)
     rest = [c for c in df.columns if c != text]
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest)
 

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.session import ensure_checkpoint_dir
+from gleaner.session import ensure_checkpoint_dir, own_exchange
 
 # A perfect difference set, each residue but 0 once as a difference.
 PERIOD, COVER = 73, (0, 1, 3, 7, 15, 31, 36, 54, 63)
@@ -187,7 +187,8 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 160) -> DataFra
     w = Window.partitionBy("doc").orderBy("s")
     step = F.least(F.lit(span).cast("long"), F.coalesce(F.lead("s").over(w) - F.col("s"), F.lit(span).cast("long")))
     windows = span_windows(found, span)
-    partly = windows.join(hashes_in_two(windows), "h", "left_semi").select("doc", step.alias("step")).groupBy("doc").agg(F.sum("step").alias("shared_chars"))
+    # A passage of very many texts is one hash in each: its side is aggregated, so it needs an exchange of its own to be split.
+    partly = windows.join(own_exchange(hashes_in_two(windows)), "h", "left_semi").select("doc", step.alias("step")).groupBy("doc").agg(F.sum("step").alias("shared_chars"))
     single = classes.where("members = 1").select("doc")
     copies = keyed.join(classes.where("members > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("doc", F.col("n").alias("shared_chars"))
     return partly.join(single, "doc", "left_semi").unionByName(copies).withColumnRenamed("doc", key)
