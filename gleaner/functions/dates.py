@@ -23,7 +23,7 @@ def month_number(name: Column) -> Column:
 def calendar_date(y: Column, m: Column, d: Column) -> Column:
     """The date of three numbers, null where any is null or the day does not exist."""
     text = F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), F.lpad(m.cast("string"), 2, "0"), F.lit("-"), F.lpad(d.cast("string"), 2, "0"))
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return text.try_cast("date")
 
 
 def _part(c: Column, pattern: str, group: int) -> Column:
@@ -41,9 +41,12 @@ NAME_DAY = r"^([a-z]{3,9})[-/., ]*(\d{1,2})(?:st|nd|rd|th)?[-/., ]+(\d{4})$"
 def parse_date_cell(c: Column) -> Column:
     """The DATE that a whole cell writes, day before month; null if it is no date or none that exists."""
     s = F.lower(squeeze(c))
-    year_first = calendar_date(_part(s, YEAR_FIRST, 1), _part(s, YEAR_FIRST, 2), _part(s, YEAR_FIRST, 3))
-    day_first = calendar_date(_part(s, DAY_FIRST, 3), _part(s, DAY_FIRST, 2), _part(s, DAY_FIRST, 1))
-    eight = calendar_date(_part(s, EIGHT, 1), _part(s, EIGHT, 2), _part(s, EIGHT, 3))
-    day_name = calendar_date(_part(s, DAY_NAME, 3), month_number(_part(s, DAY_NAME, 2)), _part(s, DAY_NAME, 1))
-    name_day = calendar_date(_part(s, NAME_DAY, 3), month_number(_part(s, NAME_DAY, 1)), _part(s, NAME_DAY, 2))
-    return F.coalesce(year_first, day_first, eight, day_name, name_day)
+    forms = {
+        YEAR_FIRST: lambda p: calendar_date(p(1), p(2), p(3)), DAY_FIRST: lambda p: calendar_date(p(3), p(2), p(1)), EIGHT: lambda p: calendar_date(p(1), p(2), p(3)),
+        DAY_NAME: lambda p: calendar_date(p(3), month_number(p(2)), p(1)), NAME_DAY: lambda p: calendar_date(p(3), month_number(p(1)), p(2)),
+    }
+    # The form first: the parts are taken out of the one that fits.
+    out = F.lit(None).cast("date")
+    for pattern, read in reversed(forms.items()):
+        out = F.when(s.rlike(pattern), read(lambda i, pattern=pattern: _part(s, pattern, i))).otherwise(out)
+    return out
