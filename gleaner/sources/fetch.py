@@ -57,6 +57,8 @@ class Settings:
     respect_robots: bool = True
     headers: dict = field(default_factory=lambda: {"Accept-Language": "en-IN"})
     transport: Transport = http_transport
+    #: Renders a page in a browser: (url, timeout) to its HTML. There is none in this library.
+    renderer: Callable[[str, float], str] | None = None
     sleep: Callable[[float], None] = time.sleep
 
 
@@ -152,6 +154,41 @@ def fetch(urls: DataFrame, settings: Settings | None = None) -> DataFrame:
     return urls.where("url is not null").select("url").distinct().repartition(host).sortWithinPartitions(host, "url").mapInPandas(run, SCHEMA)
 
 
+def crawl(urls: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """The same as `fetch`: the given URLs only, no links are followed."""
+    return fetch(urls, settings)
+
+
+def render(urls: DataFrame, settings: Settings) -> DataFrame:
+    """(url, text, error) of each distinct URL by the renderer of `settings`; its failures, and its absence, are errors in the row."""
+
+    def one(url: str) -> tuple[str | None, str | None]:
+        if settings.renderer is None:
+            return None, "RendererUnavailable: no renderer is set"
+        try:
+            return settings.renderer(url, settings.timeout), None
+        except Exception as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(u, *one(u)) for u in b["url"]]
+            yield pd.DataFrame(out, columns=["url", "text", "error"])
+
+    return urls.where("url is not null").select("url").distinct().mapInPandas(run, "url string, text string, error string")
+
+
+def extract_or_render(pages: DataFrame, extract: Callable[[DataFrame], DataFrame], settings: Settings) -> DataFrame:
+    """What `extract` gives of pages (url, text, method): rows that keep `url`; pages without a row are rendered and extracted once more.
+
+    The rows get `method`: the page's own, or 'dynamic' after rendering. Which pages gave rows is found by an anti join on url.
+    """
+    first = extract(pages)
+    empty = pages.join(first.select("url").distinct(), "url", "left_anti").select("url")
+    rendered = render(empty, settings).where("text is not null").select("url", "text", F.lit("dynamic").alias("method"))
+    return first.join(pages.select("url", "method"), "url").unionByName(extract(rendered).withColumn("method", F.lit("dynamic")))
+
+
 def with_snapshots(urls: DataFrame, snapshots: DataFrame, settings: Settings | None = None) -> DataFrame:
     """(url, text, method): pages from the snapshot table (url, text) where it has them, fetched where not."""
     kept = urls.join(snapshots.select("url", "text"), "url").select("url", "text", F.lit("cache").alias("method"))

@@ -6,11 +6,12 @@ import csv
 import json
 import os
 import tempfile
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from pathlib import Path
 from typing import Any, TextIO
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,37 @@ def registry(spark: SparkSession, path: str, adapters: Iterable[str]) -> DataFra
     return spark.createDataFrame(values, T.StructType([T.StructField(f, T.StringType()) for f in SOURCE_FIELDS]))
 
 
+class ReaderUnavailable(RuntimeError):
+    """No reader of this kind of file is installed or given."""
+
+
+class ExcelUnavailable(RuntimeError):
+    """The library that writes workbooks is not installed."""
+
+
+def document_texts(files: DataFrame, reader: Callable[[bytes, int], str] | None, max_pages: int = 12, least: int = 40) -> DataFrame:
+    """(path, text, error) of binary files (path, content), as `spark.read.format("binaryFile")` gives them.
+
+    `reader` turns content and a number of pages into text; a text of `least` characters or fewer is
+    none (a scan without text). A failing file is an error in its row. Without a reader this is an error.
+    """
+    if reader is None:
+        raise ReaderUnavailable("document_texts needs a reader; no PDF library is part of this package")
+
+    def one(content: bytes | None) -> tuple[str | None, str | None]:
+        try:
+            text = reader(bytes(content or b""), max_pages)
+            return (text, None) if text and len(text.strip()) > least else (None, None)
+        except Exception as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(p, *one(c)) for p, c in zip(b["path"], b["content"], strict=True)], columns=["path", "text", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, text string, error string")
+
+
 # --- sinks -----------------------------------------------------------------------------------------
 
 
@@ -115,6 +147,40 @@ def write_csv(df: DataFrame, path: str) -> int:
     return n
 
 
+def write_excel(df: DataFrame, path: str, sheet: str = "data") -> int:
+    """One local workbook of the flattened rows, which stream through the driver; an error of its own where openpyxl is missing. The number of rows."""
+    try:
+        from openpyxl import Workbook
+    except ImportError as e:
+        raise ExcelUnavailable("write_excel needs openpyxl") from e
+    flat, n = flattened(df), 0
+    book = Workbook(write_only=True)
+    page = book.create_sheet(sheet)
+    page.append(flat.columns)
+    for row in flat.toLocalIterator():
+        page.append(list(row))
+        n += 1
+    book.save(path)
+    return n
+
+
+def write_ledger(df: DataFrame, path: str, title: str = "records") -> int:
+    """One local HTML page that embeds the rows as JSON, with < > & escaped so that no text can end the script. The number of rows."""
+    n = 0
+    name = title.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    with atomic(path) as f:
+        f.write(f'<!doctype html><meta charset="utf-8"><title>{name}</title><table id="rows"></table><script id="data" type="application/json">[')
+        for (text,) in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator():
+            f.write(("," if n else "") + "\n" + text.replace("&", "\\u0026").replace("<", "\\u003c").replace(">", "\\u003e"))
+            n += 1
+        f.write(
+            '\n]</script><script>const rows = JSON.parse(document.getElementById("data").textContent), t = document.getElementById("rows");'
+            "rows.forEach((r, i) => { if (!i) Object.keys(r).forEach(k => t.createTHead && (t.tHead || t.createTHead().insertRow()) && t.tHead.rows[0].append(Object.assign(document.createElement('th'), {textContent: k})));"
+            "const x = t.insertRow(); Object.values(r).forEach(v => { x.insertCell().textContent = v === null ? '' : typeof v === 'object' ? JSON.stringify(v) : v; }); });</script>\n"
+        )
+    return n
+
+
 def write_table(df: DataFrame, path: str, form: str = "parquet", by: Iterable[str] = (), options: Mapping[str, Any] | None = None) -> None:
     """The distributed sink: any Spark format, partitioned by columns; json and csv get the forms of the local sinks."""
     out = flattened(df) if form == "csv" else df

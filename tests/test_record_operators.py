@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions import classify, text, values
-from gleaner.operators import cards, duplicates, merchants, quality, reconcile
+from gleaner.operators import cards, duplicates, merchants, quality, reconcile, records
+from gleaner.session import ensure_checkpoint_dir, own_exchange
 
 
 def one(spark, expression):
@@ -170,3 +171,69 @@ def test_reconcile(spark):
     r = run(spark, offer(1, 10.0, "a", "S"), offer(2, 11.0, "b", "S"), offer(3, 12.0, "c", "C"))
     assert r[0]["conflict_status"] == "RESOLVED_BY_TIER"  # the last fold overwrites
     assert run(spark) == []
+
+
+def test_builders(spark):
+    df = spark.createDataFrame([(1, " a\u00a0b ", "9", "x"), (2, None, "n", None)], "id int, t string, n string, clash string")
+    got = records.parse_records(df, {"n": records.guarded(lambda v: str(int(v) + 1)), "gone": lambda c: c}, keep=["clash"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "a b", "10", "x", None), (2, None, None, None, None)]
+    assert records.parse_records(df, {"n": lambda c: c}, drop_unmapped=True).columns == ["n"]
+    cells = F.array(*[F.struct(F.lit(a).alias("name"), F.lit(b).alias("value")) for a, b in (("Offer one", " "), ("Offer two", "7"), ("Offer three", "8"))])
+    assert one(spark, records.pick_column(cells, "^Offer")) == "7" and one(spark, records.pick_column(cells, "none")) is None
+    assert one(spark, records.entry_lines(F.lit("Page 3\nAbc\n abc \n\nx\n" + "y" * 200 + "\nDef"))) == ["Abc", "Def"]
+    assert one(spark, records.entry_lines(F.lit(None).cast("string"))) is None
+    assert one(spark, text.absolutise(F.lit("../b c?d"), F.lit("https://h/x/y/z"))) == "https://h/x/b%20c?d" and one(spark, text.absolutise(F.lit(" "), F.lit("https://h"))) is None
+    assert [one(spark, f(F.lit(v))) for f, v in ((text.whole_number, 1234567.5), (text.short_number, 5.0), (text.short_number, 2.25), (text.percent_text, 0.07))] == ["1,234,568", "5", "2.25", "7%"]
+
+
+def test_union_and_enrichment(spark):
+    a, b = spark.createDataFrame([("k", 2, "a2"), ("k", 1, "a1"), (None, 1, "no")], "id string, o int, v string"), spark.createDataFrame([("k", 0, "b"), ("m", 0, "b")], "id string, o int, v string")
+    assert {tuple(r) for r in records.priority_union([a, b], "id", "o").collect()} == {("k", 1, "a1"), ("m", 0, "b")}
+    links = spark.createDataFrame([("o1", "u"), ("o2", "u"), ("o3", None)], "offer_id string, url string")
+    read = []
+    got = records.enrich(links, lambda urls: (read.append(urls.count()), urls.where("url is not null").withColumn("n", F.lit(1)))[1]).orderBy("offer_id").collect()
+    assert read == [2] and [r["n"] for r in got] == [1, 1, None]
+
+
+def test_duplicate_rows_and_merges(spark):
+    df = spark.createDataFrame([(1, "a", None, 5), (2, "a", None, 6), (3, "b", "x", 7), (4, None, None, 1), (5, None, None, 1)], "n int, k string, l string, v int")
+    got = {tuple(r) for r in duplicates.duplicate_rows(df, ["k", "l"], "n").collect()}
+    assert got == {(1, 2, 1, False), (2, 2, 1, True)} and duplicates.duplicate_rows(df.limit(0), ["k"], "n").count() == 0
+    merged = {tuple(r) for r in duplicates.merge_rows(df, ["k"], "n", {"v": F.sum}).collect()}
+    assert merged == {(1, "a", None, 11), (3, "b", "x", 7), (4, None, None, 2)}
+
+
+def test_hot_merchant_is_split(spark):
+    """A merchant that a third of all mentions name is split where they meet the dimension."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in zip(names, ("-1", "4k", "4k", "false", "16"), strict=True):
+            spark.conf.set(n, v)
+        rows = spark.range(40000).repartition(8).select(F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("key"))
+        joined = rows.join(own_exchange(rows.groupBy("key").agg(F.min("seq").alias("first")), 0), "key", "left")
+        assert len(joined.collect()) == 40000 and "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    class Java:
+        def sc(self):
+            return self
+
+        def getCheckpointDir(self):
+            return self
+
+        def isDefined(self):
+            return False
+
+    class Context:
+        master, _jsc = "spark://host:7077", Java()
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        ensure_checkpoint_dir(Session())
