@@ -159,10 +159,10 @@ def map_values(values: DataFrame, names: DataFrame, places: DataFrame | None = N
     having = having.select("kind", "vt", F.when(F.size("names") < F.greatest("n_names", F.lit(2)), F.col("names")).alias("names"))
     known = idf.join(having, ["kind", "vt"]).checkpoint()
 
-    distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct()
+    distinct = values.where(squeeze(F.col("raw")) != "").select("kind", "raw").distinct().checkpoint()  # far fewer than rows, and used three times
     own = words(folded(F.regexp_replace("raw", ASIDE, " ")))
     typed = distinct.select("kind", "raw", own.alias("own"), F.explode(words(folded(F.col("raw")))).alias("tok")).select("kind", "raw", "tok", F.array_contains("own", F.col("tok")).alias("inside"))
-    tokens = typed.select("kind", "tok").distinct()
+    tokens = typed.select("kind", "tok").distinct().checkpoint()
     fixed = repair(tokens, index.select(F.col("kind").alias("k"), "vt").distinct(), longest)
     # Each typed token with its repairs and the names that have one of them.
     firm = ~F.col("tok").isin(*ADDITIONS) & ((F.col("sim") == 1) | ((F.char_length("tok") >= FIRM) & (F.char_length("vt") >= FIRM)))
