@@ -176,13 +176,13 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 160) -> DataFra
     if span < 2 * PERIOD:
         raise ValueError(f"span must be at least {2 * PERIOD}")
     docs = df.select(F.col(key).alias("doc"), F.col(text).alias("text")).where((F.char_length("text") >= span) & F.col("doc").isNotNull())
-    keyed = docs.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), F.char_length("text").cast("long").alias("n"))
-    classes = keyed.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), F.count("*").alias("members"))
     ensure_checkpoint_dir(df.sparkSession)
+    keyed = docs.select("doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), F.char_length("text").cast("long").alias("n")).checkpoint()
+    classes = keyed.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), F.count("*").alias("members"))
     # Here a text stands for all its copies, so that copies share no anchor with each other, and texts are hashed where they are read.
     shared = hashes_in_two(anchors(docs.select(F.xxhash64("text").alias("doc"), "text"), span)).checkpoint()
     located = anchors(docs, span, hash_filter(shared)).join(shared, "h", "left_semi")
-    places = located.groupBy("doc").agg(F.collect_list("p").alias("places")).join(classes.select("doc"), "doc")
+    places = located.groupBy("doc").agg(F.collect_list("p").alias("places")).join(classes.select("doc"), "doc").checkpoint()  # used twice: windows are hashed to be counted and to be placed
     found = docs.join(places, "doc")
     w = Window.partitionBy("doc").orderBy("s")
     step = F.least(F.lit(span).cast("long"), F.coalesce(F.lead("s").over(w) - F.col("s"), F.lit(span).cast("long")))
