@@ -97,7 +97,42 @@ o AS (
   FROM j WHERE n = 0 OR (ts IS NOT NULL AND live = 0))
 """
 
+
+
+def _list(v: str) -> str:
+    """A JSON value as a JSON list: a list as it is, JSON text as what it holds, anything else as the only entry, null as no entry."""
+    text = f"({v} ->> '$')"
+    inside = f"(json_type({v}) = 'VARCHAR' AND regexp_matches({text}, '^\\s*[\\[{{]') AND json_valid({text}))"
+    return f"CASE WHEN {v} IS NULL OR json_type({v}) = 'NULL' THEN '[]'::JSON WHEN json_type({v}) = 'ARRAY' THEN {v} WHEN {inside} THEN CASE json_type({text}::JSON) WHEN 'ARRAY' THEN {text}::JSON ELSE ('[' || {text} || ']')::JSON END ELSE ('[' || {v} || ']')::JSON END"
+
+
+def _is_record(v: str) -> str:
+    return f"(json_type({v}) = 'OBJECT' AND (({v} -> 'evidence_data') IS NOT NULL OR ({v} -> 'eligibility') IS NOT NULL OR ({v} -> 'identity') IS NOT NULL))"
+
+
+def _entries(source: str, keep: str, v: str) -> str:
+    """(record_id, keep, pos, v) of the entries of a list."""
+    return f"SELECT record_id, {keep} parent_pos, CAST(i AS BIGINT) AS pos, json_extract(a, '$[' || i || ']') AS v FROM (SELECT record_id, {keep} parent_pos, {_list(v)} AS a FROM {source}), unnest(range(CAST(json_array_length(a) AS BIGINT))) t(i)"
+
+
+_ITEM = "CASE WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' ELSE CAST(v AS VARCHAR) END"
+_P5 = f"""
+WITH o AS (SELECT DISTINCT record_id, CASE WHEN json_valid(payload) AND json_type(payload) = 'OBJECT' THEN payload::JSON END AS j FROM raw_records),
+u AS (SELECT record_id, -1 AS parent_pos, CASE WHEN {_is_record("j")} THEN j WHEN {_is_record("(j -> 'offer')")} THEN j -> 'offer' WHEN {_is_record("(j -> 'data')")} THEN j -> 'data' WHEN {_is_record("(j -> 'data' -> 'offer')")} THEN j -> 'data' -> 'offer' ELSE j END AS r FROM o),
+e AS ({_entries("u WHERE r IS NOT NULL", "", "(r -> 'evidence_data')")}),
+d AS ({_entries("u WHERE r IS NOT NULL", "", "(r -> 'eligibility' -> 'linked_eligibility_documents')")}),
+c AS (
+  SELECT record_id, 'evidence_data' AS child_table, parent_pos, pos, v, coalesce(v ->> 'field', '') AS item FROM e
+  UNION ALL SELECT record_id, 'linked_eligibility_documents', parent_pos, pos, v, coalesce(v ->> 'url', '') FROM d
+  UNION ALL SELECT record_id, 'other_eligibility_rules', parent_pos, pos, v, {_ITEM} FROM ({_entries("u WHERE r IS NOT NULL", "", "(r -> 'eligibility' -> 'other_eligibility_rules')")})
+  UNION ALL SELECT record_id, 'entries_sample', parent_pos, pos, v, {_ITEM} FROM ({_entries("(SELECT record_id, pos AS parent_pos, v AS w FROM d WHERE json_type(v) = 'OBJECT')", "", "(w -> 'entries_sample')")})
+  UNION ALL SELECT record_id, 'evidence_value', parent_pos, pos, v, {_ITEM} FROM ({_entries("(SELECT record_id, pos AS parent_pos, v AS w FROM e WHERE json_type(v -> 'value') = 'ARRAY')", "", "(w -> 'value')")}))
+SELECT DISTINCT record_id, child_table, CAST(parent_pos AS BIGINT) AS parent_pos, pos, item FROM c WHERE json_type(v) <> 'NULL'
+UNION ALL SELECT DISTINCT record_id, 'rejected', -1, -1, '' FROM u WHERE r IS NULL
+"""
+
 ORACLE = {
+    "p5_found": _P5,
     "p6_found": _P6 + "SELECT DISTINCT strftime(d, '%Y-%m-%d') AS snapshot_date, k AS offer_id, kind AS change_kind FROM cases",
     "p6_summary": _P6 + "SELECT strftime(d, '%Y-%m-%d') AS snapshot_date, kind AS change_kind, count(*) AS n_offers FROM cases GROUP BY 1, 2",
     "p7_found": _P7 + "SELECT * FROM o",
