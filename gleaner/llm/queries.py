@@ -101,4 +101,9 @@ t AS (SELECT *, coalesce({_TIER}, 9) AS tier FROM r WHERE g IS NOT NULL AND i IS
 SELECT g AS canonical_offer_id, f AS field_name, i AS offer_id
 FROM (SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY tier, v DESC NULLS LAST, i) AS n FROM t WHERE ok) WHERE n = 1
 """,
+    # Every window of 160 characters of every text, compared as text.
+    "p10_found": """
+WITH w AS (SELECT doc_id, i, substr(text, i, 160) AS s FROM documents, unnest(range(1, length(text) - 158)) t(i) WHERE length(text) >= 160),
+m AS (SELECT doc_id, i FROM w SEMI JOIN (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)) c ON w.s = c.s)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS shared_chars FROM (SELECT doc_id, least(160, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 160)) AS n FROM m) GROUP BY doc_id""",
 }
