@@ -161,7 +161,7 @@ def whole_number(c: Column) -> Column:
 
 def short_number(c: Column) -> Column:
     """A number as short as it can be written: 5.0 as 5, at most four decimals."""
-    return F.regexp_replace(F.format_string("%.4f", c), r"\.?0+$", "")
+    return F.when(c.isNotNull(), F.regexp_replace(F.format_string("%.4f", c), r"\.?0+$", ""))
 
 
 def percent_text(c: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import classify, text
-from gleaner.operators import cards, duplicates, merchants, quality, reconcile, records
+from gleaner.operators import cards, duplicates, merchants, quality, reconcile, records, views
+from gleaner.plans import build
 from gleaner.sources.tables import table
 
 S = SparkSession
@@ -177,11 +178,37 @@ def sanitized_names(spark: S, d: str) -> DataFrame:
     return p.select("p_partkey", text.sanitize(dirty).alias("sane"), text.clean(dirty).alias("clean"), text.first_given(F.lit(" "), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")), F.col("p_type")).alias("given"))
 
 
+def review_rows(spark: S, d: str) -> DataFrame:
+    """The reviewer's flat rows."""
+    return views.review_rows(table(spark, d, "offers")).distinct()
+
+
+def page_rows(spark: S, d: str) -> DataFrame:
+    """What a page shows of each offer; documents and lists as text."""
+    r = views.page_rows(table(spark, d, "offers"))
+    return r.select("id", "btype", "cap", "until", "loc_n", "verified_at", "ev_n", F.array_join("loc", "|").alias("loc"), F.array_join("rules", "|").alias("rules"), F.array_join(F.transform("docs", lambda x: F.concat_ws(",", x["t"], x["p"].cast("string"))), "|").alias("docs")).distinct()
+
+
+def source_rows(spark: S, d: str) -> DataFrame:
+    return views.source_rows(table(spark, d, "sources"))
+
+
+def described_offers(spark: S, d: str) -> DataFrame:
+    """A sentence for each offer from its structured fields."""
+    return table(spark, d, "offers").select("ingest_seq", "identity.offer_id", views.description().alias("sentence")).distinct()
+
+
+def build_report(spark: S, d: str) -> DataFrame:
+    """The stages of a build and the rows that each leaves."""
+    return build.report(spark, build.build(spark, d)).select("stage", "ok", "n_rows")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         duplicate_groups, duplicate_pairs, typed_events, offer_conditions, document_outcomes, issuer_cards, merchant_records, merchant_alias_rows, mentions_resolved, partner_ranks, missing_partners, catalogue,
         number_texts, parsed_orders, record_ids, evidence_rows, validity_rows, card_words, offer_card_sets, card_links, merged_offers, document_urls, nested_updates, sanitized_names,
+        review_rows, page_rows, source_rows, described_offers, build_report,
     )
 }
 
@@ -272,4 +299,20 @@ SELECT offer_id, pos, url, sha256(url) AS content FROM (
   SELECT identity.offer_id AS offer_id, generate_subscripts(eligibility.linked_eligibility_documents, 1) - 1 AS pos, trim(unnest(eligibility.linked_eligibility_documents).url) AS url FROM (SELECT DISTINCT * FROM offers)) WHERE url <> ''""",
     "nested_updates": "SELECT DISTINCT ingest_seq, lower(validity.status) AS status, validity.timezone AS timezone FROM offers",
     "sanitized_names": "SELECT p_partkey, p_name || ' |' AS sane, p_name AS clean, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE p_type END AS given FROM part",
+    "review_rows": f"SELECT DISTINCT {', '.join(f'{p} AS {n}' for n, p in views.REVIEW.items())}, coalesce(len(eligibility.card_ids), 0) AS card_ids_count, coalesce(len(eligibility.unmatched_card_slugs), 0) AS unmatched_slugs FROM offers",
+    "page_rows": """
+SELECT DISTINCT identity.offer_id AS id, benefit.benefit_type AS btype, benefit.maximum_benefit AS cap, validity.valid_until AS until, coalesce(len(eligibility.location), 0) AS loc_n, coalesce(strftime(last_verified_at, '%Y-%m-%d'), '') AS verified_at,
+  coalesce(len(evidence_data), 0) AS ev_n, coalesce(array_to_string(eligibility.location[1:6], '|'), '') AS loc, coalesce(array_to_string(list_transform(eligibility.other_eligibility_rules, lambda r: left(r, 400)), '|'), '') AS rules,
+  array_to_string(list_transform(eligibility.linked_eligibility_documents, lambda x: concat_ws(',', x.document_type, CAST(coalesce(x.parsed, false) AS VARCHAR))), '|') AS docs FROM offers""",
+    "source_rows": "SELECT key, name, url, tier, role, source_type, vendor, issuer, network FROM sources",
+    "described_offers": """
+WITH h AS (SELECT ingest_seq, identity.offer_id AS offer_id, merchant.merchant_name AS m, identity.grantor_name AS g, eligibility.minimum_spend AS s, benefit.maximum_benefit AS cap, validity.valid_until AS u,
+  CASE WHEN benefit.discount_percentage IS NOT NULL THEN printf('%g', benefit.discount_percentage) || '% discount' WHEN benefit.cashback IS NOT NULL THEN printf('%g', benefit.cashback) || '% cashback'
+    WHEN benefit.reward_multiplier IS NOT NULL THEN printf('%g', benefit.reward_multiplier) || 'X reward points' WHEN benefit.flat_discount IS NOT NULL THEN 'Rs ' || format('{:,.0f}', benefit.flat_discount) || ' off' END AS measured,
+  lower(coalesce(nullif(benefit.benefit_nature, ''), 'offer')) AS nature FROM offers)
+SELECT DISTINCT ingest_seq, offer_id, coalesce(measured, 'Up to Rs ' || format('{:,.0f}', cap) || ' benefit', upper(left(nature, 1)) || substr(nature, 2) || ' offer') || CASE WHEN m <> '' THEN ' at ' || m ELSE '' END || CASE WHEN g <> '' THEN ' for ' || g || ' cardholders' ELSE '' END
+  || coalesce(' on a minimum spend of Rs ' || format('{:,.0f}', s), '') || CASE WHEN measured IS NOT NULL AND cap IS NOT NULL THEN ' capped at Rs ' || format('{:,.0f}', cap) ELSE '' END || coalesce(' valid until ' || u, '') || '.' AS sentence FROM h""",
 }
+ORACLE["build_report"] = f"""
+SELECT 'extract' AS stage, true AS ok, count(*) AS n_rows FROM (SELECT DISTINCT * FROM offers) UNION ALL SELECT 'enrich', true, count(*) FROM (SELECT DISTINCT * FROM offers)
+UNION ALL SELECT 'reconcile', true, count(*) FROM ({ORACLE["merged_offers"]}) UNION ALL SELECT 'validate', true, count(*) FROM ({ORACLE["merged_offers"]})"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import classify, text, values
 from gleaner.operators import cards, duplicates, merchants, quality, reconcile, records
+from gleaner.plans import build
 from gleaner.session import ensure_checkpoint_dir, own_exchange
 
 
@@ -237,3 +238,13 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(ValueError, match="checkpoint"):
         ensure_checkpoint_dir(Session())
+
+
+def test_short_numbers_of_null(spark):
+    assert one(spark, text.short_number(F.lit(None).cast("double"))) is None and one(spark, text.percent_text(F.lit(None).cast("double"))) is None
+
+
+def test_build(spark, data):
+    result = build.build(spark, data)
+    assert result.ok and [s.name for s in result.stages] == ["extract", "enrich", "reconcile", "validate"] and all(s.rows for s in result.stages)
+    assert "valid" in result.data.columns and build.report(spark, result).where("ok").count() == 4
