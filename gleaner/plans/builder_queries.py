@@ -161,6 +161,16 @@ def merged_offers(spark: S, d: str) -> DataFrame:
     return r.select("kind", "offer_id", "n_sources", *reconcile.MATERIAL, "conflict_status", F.array_join("conflict_fields", ",").alias("conflict_fields"))
 
 
+def merged_coarse_offers(spark: S, d: str) -> DataFrame:
+    """The same where many offers meet: without cards, last day and coupon, by the first letters of the merchant."""
+    o = table(spark, d, "offers")
+    none = {"eligibility.card_ids": F.lit(None).cast("array<string>"), "eligibility.unmatched_card_slugs": F.lit(None).cast("array<string>"), "validity.valid_until": F.lit(None).cast("date"), "redemption.coupon_code": F.lit(None).cast("string")}
+    for path, value in {**none, "merchant.merchant_id": F.substring("merchant.merchant_id", 1, 4)}.items():
+        o = records.set_path(o, path, value)
+    r = reconcile.reconcile(o)
+    return r.select("kind", "offer_id", "n_sources", *reconcile.MATERIAL, "conflict_status", F.array_join("conflict_fields", ",").alias("conflict_fields"))
+
+
 def document_urls(spark: S, d: str) -> DataFrame:
     """Documents linked by offers, each distinct URL read once and joined back."""
     links = records.document_links(table(spark, d, "offers").distinct())
@@ -207,7 +217,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         duplicate_groups, duplicate_pairs, typed_events, offer_conditions, document_outcomes, issuer_cards, merchant_records, merchant_alias_rows, mentions_resolved, partner_ranks, missing_partners, catalogue,
-        number_texts, parsed_orders, record_ids, evidence_rows, validity_rows, card_words, offer_card_sets, card_links, merged_offers, document_urls, nested_updates, sanitized_names,
+        number_texts, parsed_orders, record_ids, evidence_rows, validity_rows, card_words, offer_card_sets, card_links, merged_offers, merged_coarse_offers, document_urls, nested_updates, sanitized_names,
         review_rows, page_rows, source_rows, described_offers, build_report,
     )
 }
@@ -316,3 +326,23 @@ SELECT DISTINCT ingest_seq, offer_id, coalesce(measured, 'Up to Rs ' || format('
 ORACLE["build_report"] = f"""
 SELECT 'extract' AS stage, true AS ok, count(*) AS n_rows FROM (SELECT DISTINCT * FROM offers) UNION ALL SELECT 'enrich', true, count(*) FROM (SELECT DISTINCT * FROM offers)
 UNION ALL SELECT 'reconcile', true, count(*) FROM ({ORACLE["merged_offers"]}) UNION ALL SELECT 'validate', true, count(*) FROM ({ORACLE["merged_offers"]})"""
+ORACLE["reconcile_report"] = f"SELECT kind, coalesce(conflict_status, 'NONE') AS conflict_status, count(*) AS n FROM ({ORACLE['merged_offers']}) GROUP BY 1, 2"
+# Slugs as typed in offers: an issuer that no card has leaves the third step open to all cards.
+ORACLE["linked_cards"] = f"""
+WITH c AS (SELECT DISTINCT identity.card_id AS id, lower(identity.issuer) AS issuer, lower(regexp_extract(identity.official_url, '([^/?#]+?)(?:\\.[A-Za-z0-9]+)?/*(?:[?#].*)?$', 1)) AS slug, {_TOKENS.format('identity.card_name')} AS t FROM cards WHERE identity.card_id IS NOT NULL),
+o AS (SELECT * FROM (SELECT identity.offer_id AS record_id, eligibility.issuer AS issuer, eligibility.unmatched_card_slugs AS slugs, row_number() OVER (PARTITION BY identity.offer_id ORDER BY ingest_seq) AS n FROM offers WHERE identity.offer_id IS NOT NULL) WHERE n = 1),
+s AS (SELECT record_id, issuer, slug, min(pos) AS pos FROM (SELECT record_id, issuer, trim(unnest(slugs)) AS slug, generate_subscripts(slugs, 1) AS pos FROM o) WHERE slug <> '' GROUP BY 1, 2, 3),
+a AS (SELECT *, {_TOKENS.format('slug')} AS t, issuer IS NULL OR lower(issuer) NOT IN (SELECT issuer FROM c WHERE issuer IS NOT NULL) AS anyone FROM (SELECT DISTINCT issuer, slug FROM s)),
+m AS (
+  SELECT a.issuer, a.slug, list(DISTINCT c.id) AS ids, 1 AS step FROM a JOIN c ON c.slug <> '' AND lower(a.slug) = c.slug GROUP BY 1, 2
+  UNION ALL SELECT a.issuer, a.slug, list(DISTINCT c.id), 2 FROM a JOIN c ON len(a.t) > 0 AND a.t = c.t GROUP BY 1, 2
+  UNION ALL SELECT a.issuer, a.slug, list(DISTINCT c.id), 3 FROM a JOIN c ON len(a.t) > 0 AND list_has_all(c.t, a.t) AND (a.anyone OR c.issuer = lower(a.issuer)) GROUP BY 1, 2 HAVING count(DISTINCT c.id) = 1),
+r AS (SELECT issuer, slug, arg_min(ids, step) AS ids FROM m GROUP BY 1, 2),
+j AS (SELECT s.record_id, s.slug, s.pos, r.ids FROM s LEFT JOIN r ON r.slug = s.slug AND r.issuer IS NOT DISTINCT FROM s.issuer),
+l AS (SELECT record_id, list_sort(list_distinct(flatten(list(ids) FILTER (ids IS NOT NULL)))) AS card_ids, list(slug ORDER BY pos) FILTER (ids IS NULL) AS unmatched, round_even(count(ids) / count(*), 4) AS match_rate FROM j GROUP BY 1)
+SELECT o.record_id, coalesce(l.card_ids, []) AS card_ids, coalesce(l.unmatched, []) AS unmatched, l.match_rate FROM o LEFT JOIN l USING (record_id)"""
+_CARDS = ORACLE["merged_offers"].split("array_to_string(list_sort(")[1].split(" AS mc")[0]
+ORACLE["merged_coarse_offers"] = (
+    ORACLE["merged_offers"].replace("array_to_string(list_sort(" + _CARDS, "''").replace("merchant.merchant_id AS mm", "left(merchant.merchant_id, 4) AS mm")
+    .replace("validity.valid_until AS valid_until", "CAST(NULL AS DATE) AS valid_until").replace("redemption.coupon_code AS coupon_code", "CAST(NULL AS VARCHAR) AS coupon_code")
+)
