@@ -259,6 +259,20 @@ def test_hot_blocks_are_refined(spark, monkeypatch):
     assert len(refined & equal) >= 0.97 * len(equal)
 
 
+def test_hot_blocks_keep_records_that_lack_the_rest(spark):
+    """In a hot block a bank's record that lacks what tells the others apart still meets the listings; so does one that lacks what the listing states, and the other way round."""
+    day = dt.date(2025, 3, 1)
+    row = lambda i, pct, least: (f"b{i}", "Alpha Bank", "m_zandora", f"{pct}% cashback at Zandora" if pct else "Cashback at Zandora", "CASHBACK", pct, least, day, None)
+    banks = [row(i, float(i % 50 + 1), 1000.0 + 10 * i) for i in range(3 * pairs.HOT)] + [row("none", None, None), row("pct", 77.0, None), row("least", None, 77777.0)]
+    item = lambda i, pct, least: (i, "Alpha", "zandora", f"{pct} cashback @ Zandora" if pct else "Cashback @ Zandora", "CASHBACK", None, least, "2025-03-01", None)
+    listed = [item("both", "99%", "Rs 99999"), item("pct", "98%", None), item("least", None, "Rs 88888")]
+    m = spark.createDataFrame([("m_zandora", "Zandora", None)], SHOPS)
+    rows = pairs.with_tokens(pairs.with_merchants(pairs.attributes(spark.createDataFrame(banks, BANK), spark.createDataFrame(listed, LIST)), m)).checkpoint()
+    ids = {r["rid"]: r["id"] for r in rows.collect()}
+    got = {(ids[r["b"]], ids[r["l"]]) for r in pairs.candidate_pairs(rows.where("side = 'b'").drop("side"), rows.where("side = 'l'").drop("side")).collect()}
+    assert got == {("bnone", "both"), ("bnone", "pct"), ("bnone", "least"), ("bleast", "pct"), ("bpct", "least")}
+
+
 def test_fit_is_one_rule_for_every_size():
     """No label leaves the prior and the plain score, few labels move it little; a masked attribute does not change the label."""
     columns = ["l", *[f"a_{c}" for c in pairs.COMPARED], *[f"g_{c}" for c in pairs.COMPARED], "half", "unlike", "days", "log_n"]
