@@ -4,7 +4,8 @@ Both sides are brought to the same attributes (merchant, issuer, value, least sp
 attribute is a set of shingles (letter trigrams of a merchant's name in all writings of the record,
 one element for the others); a band of the signature takes the MinHash of three attributes, and
 records that share a band are candidates. Each candidate pair gets similarity features, and a logistic
-classifier trained on weak labels gives it a calibrated probability.
+classifier trained on weak labels gives it a calibrated probability. All candidates are compared, in
+cells of two chunks of records (gleaner.llm.cells), and none is stored.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from gleaner.functions.dates import parse_date_cell
 from gleaner.functions.text import is_filler, squeeze
 from gleaner.functions.values import let
+from gleaner.llm import cells
 from gleaner.llm.canonical import ADDITIONS, ASIDE, folded, words
 from gleaner.operators.units import Reader, fits, money, to_int
-from gleaner.session import ensure_checkpoint_dir, own_exchange, small_side
+from gleaner.session import BROADCAST_LIMIT, ensure_checkpoint_dir, own_exchange, small_side
 
 # Words of offer titles that are no part of a merchant's name.
 TITLE_WORDS = (
@@ -119,7 +121,7 @@ def cell(c: Column) -> Column:
 
 
 def attributes(bank_offers: DataFrame, partner_listings: DataFrame) -> DataFrame:
-    """One row for each record of either side ('b' or 'l') with the common attributes; equal rows once, rows without an id left out."""
+    """One row for each record of either side ('b' or 'l') with the common attributes; rows without an id left out."""
     b = bank_offers.select(
         F.lit("b").alias("side"), F.col("bank_offer_id").alias("id"), issuer_key(F.col("issuer")).alias("issuer"), cell(F.col("merchant_id")).alias("slug"), "title", "benefit_type",
         F.lit(None).cast("string").alias("value_text"), "discount_percentage", F.col("minimum_spend").cast("decimal(20,2)").cast("string").alias("spend_text"), F.col("valid_until").alias("until"), F.lit(None).cast("string").alias("city"),
@@ -129,7 +131,7 @@ def attributes(bank_offers: DataFrame, partner_listings: DataFrame) -> DataFrame
         F.lit("l").alias("side"), F.col("listing_id").alias("id"), issuer_key(F.col("bank_name")).alias("issuer"), cell(F.col("merchant_id")).alias("slug"), "title", "benefit_type",
         cell(F.col("benefit_value")).alias("value_text"), F.lit(None).cast("double").alias("discount_percentage"), cell(F.col("minimum_spend")).alias("spend_text"), until.alias("until"), cell(F.col("city")).alias("city"),
     )
-    return b.unionByName(p).where("id is not null").distinct().mapInArrow(_read, ATTRIBUTES)
+    return b.unionByName(p).where("id is not null").mapInArrow(_read, ATTRIBUTES)
 
 
 #: The end of a title that says with whose cards an offer holds.
@@ -198,20 +200,48 @@ def minhash_bands(shingles: Column, bands: int = BANDS, rows: int = ROWS) -> Col
     return F.when(F.size(shingles) > 0, let(F.transform(shingles, lambda g: F.xxhash64(g)), bands_of))
 
 
+def _value() -> Column:
+    return F.concat("value_kind", F.col("value").cast("string"))
+
+
+def _rid() -> Column:
+    return F.xxhash64("side", "id", "m_name", "m_slug", "listed", "issuer", "kind", _value(), "spend", "until").alias("rid")
+
+
+def _merchant_tokens() -> Column:
+    return minhash_bands(F.array_union(trigrams(F.col("m_name")), trigrams(F.col("m_slug"))))
+
+
 def with_tokens(rows: DataFrame) -> DataFrame:
     """`rows` with `rid` and what each attribute gives to the signature; of the last day a listing has the buckets within DAYS_OFF."""
     day = F.datediff("until", F.lit("1970-01-01").cast("date"))
     bucket = lambda by: F.floor((day + by) / BUCKET)
     spread = F.when(F.col("side") == "l", F.array_distinct(F.array(bucket(-DAYS_OFF), bucket(DAYS_OFF)))).otherwise(F.array(bucket(0)))
-    value = F.concat("value_kind", F.col("value").cast("string"))
     return rows.select(
-        F.xxhash64("side", "id", "m_name", "m_slug", "listed", "issuer", "kind", value, "spend", "until").alias("rid"),
-        "side", "id", "m_name", "m_slug", "listed", "issuer", "kind", "spend", "until", value.alias("value"),
-        minhash_bands(F.array_union(trigrams(F.col("m_name")), trigrams(F.col("m_slug")))).alias("m_tokens"),
+        _rid(), "side", "id", "m_name", "m_slug", "listed", "issuer", "kind", "spend", "until", _value().alias("value"),
+        _merchant_tokens().alias("m_tokens"),
         F.when(F.col("until").isNotNull(), spread).alias("buckets"),
     ).dropDuplicates(["rid"])
 
 
+#: Parts into which the hash of a record says whether training reads it.
+DRAWS = 1_000_000
+
+
+def packed(rows: DataFrame, n_bank: int, n_listings: int) -> DataFrame:
+    """`rows` as chunks of one side (cells.PACKED), spread by id over that many parts for each side; equal rows once."""
+    spread = lambda n, after: (F.pmod(F.xxhash64("id"), F.lit(n)) + after).cast("int")
+    part = F.when(F.col("side") == "b", spread(n_bank, 0)).otherwise(spread(n_listings, n_bank))
+    rows = rows.repartitionById(n_bank + n_listings, part).sortWithinPartitions("side", "id")
+    code = lambda c: F.when(c.isNotNull(), F.xxhash64(c))
+    hashed = {"issuer": F.col("issuer"), "value": _value(), "kind": F.col("kind"), "listed": F.col("listed"), "merchant": F.coalesce("m_name", "m_slug")}
+    rows = rows.select("*", _rid(), _merchant_tokens().alias("m_tokens"))
+    return rows.select(
+        "side", "id", "rid", F.pmod(F.xxhash64("rid"), F.lit(DRAWS)).cast("int").alias("draw"), "m_name", "m_slug", *[code(c).alias(n) for n, c in hashed.items()], "spend",
+        F.datediff("until", F.lit("1970-01-01").cast("date")).alias("until"), *[F.col("m_tokens")[i].alias(f"band_{i}") for i in range(BANDS)],
+    ).mapInArrow(cells.pack, cells.PACKED)
+
+
 def _hashes(subset: tuple[int, ...], also: Sequence[Column] = ()) -> Column:
     """The keys of a record for the attributes `subset`: one for each band of the merchant and bucket of the day; null where it lacks one."""
     fixed = {1: F.xxhash64("issuer"), 2: F.xxhash64("value"), 3: F.col("spend")}
@@ -264,9 +294,9 @@ def refined_keys(hot: DataFrame, rows: DataFrame, whole: bool, bank: bool) -> Da
 
 
 def candidate_pairs(bank: DataFrame, listings: DataFrame) -> DataFrame:
-    """(b, l): the rids of the pairs that share a band, each once.
+    """(b, l): the rids of the pairs that share a band, each once, but for what hot blocks leave out.
 
-    A block of more than HOT bank records is not compared as it is: its records meet in it only where
+    For a look at the blocks only: what is matched are all pairs, by `candidate_cells`. A block of more than HOT bank records is not compared as it is: its records meet in it only where
     they also agree in a fourth attribute, or cannot differ in one as both others are missing; where that
     is hot too, in all five and the kind. What is left out is a pair that agrees in the three attributes
     of a hot block only and differs in another, or whose listing states no other, so that HOT rivals fit as well.
@@ -309,46 +339,42 @@ PRIOR = np.array([-1.0, *[-6.0] * 4, -8.0, -3.0, *[0.0] * 6, 1.0, -2.0, -0.5, 0.
 PENALTY = 0.5
 
 
-def with_rarity(bank: DataFrame) -> DataFrame:
-    """Bank records with r_*, -log of the share of bank records that have the same value, for each attribute.
+RULES = cells.Rules(LIKE, UNLIKE, DAYS_OFF, BUCKET, COMPARED)
 
-    All attributes are counted by one aggregate and joined back as one: a row an attribute, without the values themselves.
-    """
-    total = float(max(1, bank.count()))
-    parts = {"merchant": F.coalesce("m_name", "m_slug"), "issuer": F.col("issuer"), "value": F.col("value"), "spend": F.col("spend").cast("string"), "kind": F.col("kind")}
-    long = bank.select("rid", F.inline(F.array(*[F.struct(F.lit(n).alias("c"), F.xxhash64(v).alias("v"), v.isNotNull().alias("has")) for n, v in parts.items()]))).where("has").drop("has")
-    counted = own_exchange(long.groupBy("c", "v").agg((-F.log(F.count("*") / F.lit(total))).alias("r")))
-    wide = long.join(counted, ["c", "v"]).groupBy("rid").agg(*[F.max(F.when(F.col("c") == n, F.col("r"))).alias(f"r_{n}") for n in parts])
-    days = bank.agg(F.countDistinct("until")).first()[0] or 1
-    return bank.join(wide, "rid", "left").withColumn("r_until", F.lit(math.log(max(1.0, days / (2 * DAYS_OFF + 1))))).withColumn("log_n", F.lit(math.log(total)))
-
-
-def compared(pairs: DataFrame, bank: DataFrame, listings: DataFrame) -> DataFrame:
-    """Candidate pairs (b, l) with a_*, 1 where both sides state an attribute and agree, -1 where they differ, 0 where one lacks it.
-
-    Besides: g_* how rare the bank's value is, `unlike` of the merchants' letters (nearest writings),
-    `days` apart as a share of DAYS_OFF, log_n. Days agree within DAYS_OFF. Merchants agree from LIKE
-    on, and differ if both are listed under different names or are less than UNLIKE; in between, and
-    where one begins with the other, it stays open (0, with `half` 1).
+
+@dataclass(frozen=True)
+class Cells:
+    """All pairs of chunks (chunks of bank records with `rare`), and of the bank's records the log of their number and how rare an equal day is."""
+
+    cells: DataFrame
+    log_n: float
+    every_day: float
+
+
+def candidate_cells(chunks: DataFrame) -> Cells:
+    """The cells of packed chunks, in which every pair that shares a band is compared.
+
+    `rare` has -log of the share of bank records that have the same value, for each value of the
+    chunk. Chunks of bank records are broadcast if they are small as measured, else the cells are a
+    product of stored partitions, which shuffles nothing.
     """
-    columns = ("m_name", "m_slug", "listed", "issuer", "value", "spend", "until", "kind")
-    b = bank.select(F.col("rid").alias("b"), F.col("id").alias("b_id"), *[F.col(c).alias(f"b_{c}") for c in columns], "log_n", *[F.coalesce(f"r_{c}", F.lit(0.0)).alias(f"g_{c}") for c in COMPARED])
-    p = listings.select(F.col("rid").alias("l"), F.col("id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in columns])
-    writings = [(F.col(x), F.col(y)) for x in ("b_m_name", "b_m_slug") for y in ("l_m_name", "l_m_slug")]
-    like = F.greatest(*[1 - F.levenshtein(x, y) / F.greatest(F.char_length(x), F.char_length(y)) for x, y in writings])
-    begins = F.lit(False)
-    for x, y in writings:
-        begins = begins | F.coalesce((x.startswith(y) | y.startswith(x)) & (F.least(F.char_length(x), F.char_length(y)) >= 5), F.lit(False))
-    other = F.coalesce((F.col("b_listed") != F.col("l_listed")) & (like < 1), F.lit(False))
-    merchant = F.when(like.isNull(), 0).when(other, -1).when(like >= LIKE, 1).when((like >= UNLIKE) | begins, 0).otherwise(-1)
-    apart = F.abs(F.datediff("l_until", "b_until"))
-    agree = {**{c: F.col(f"b_{c}") == F.col(f"l_{c}") for c in ("issuer", "value", "spend")}, "until": apart <= DAYS_OFF, "kind": F.col("b_kind") == F.col("l_kind")}
-    sign = {"merchant": merchant.alias("a_merchant"), **{c: F.coalesce(F.when(agree[c], 1).when(~agree[c], -1), F.lit(0)).alias(f"a_{c}") for c in agree}}
-    half = ((merchant == 0) & like.isNotNull()).cast("double").alias("half")
-    return (
-        pairs.join(small_side(b), "b").join(small_side(p), "l")
-        .select("b_id", "l_id", "l", *sign.values(), *[f"g_{c}" for c in COMPARED], half, F.coalesce(1 - like, F.lit(0.0)).alias("unlike"), F.coalesce(F.least(apart, F.lit(DAYS_OFF)) / DAYS_OFF, F.lit(0.0)).alias("days"), "log_n")
-    )
+    bank, listings = (chunks.where(F.col("side") == s).select("chunk", "data", "n") for s in "bl")
+    total = float(max(1, bank.agg(F.sum("n")).first()[0] or 0))
+    counts = bank.mapInArrow(cells.value_counts, "chunk bigint, c string, v bigint, n bigint")
+    counted = counts.groupBy("c", "v").agg(F.sum("n").alias("n"))
+    days = counted.where("c = 'until'").count() or 1
+    rarity = counted.where("c <> 'until'").select("c", "v", (-F.log(F.col("n") / F.lit(total))).alias("r"))
+    rare = counts.select("chunk", "c", "v").join(own_exchange(rarity), ["c", "v"]).groupBy("chunk").agg(F.collect_list(F.struct("c", "v", "r")).alias("rare"))
+    bank = bank.join(rare, "chunk", "left").select(F.col("data").alias("b_data"), "rare").checkpoint()
+    size = bank.agg(F.sum(F.length("b_data") + 64 * F.coalesce(F.size("rare"), F.lit(0)))).first()[0] or 0
+    listings = listings.select(F.col("chunk").alias("l_chunk"), F.col("data").alias("l_data"))
+    return Cells(listings.crossJoin(F.broadcast(bank) if size <= BROADCAST_LIMIT else bank), math.log(total), math.log(max(1.0, days / (2 * DAYS_OFF + 1))))
+
+
+def compared(found: Cells, drawn: int | None = None) -> DataFrame:
+    """Every candidate pair with its ids, the rids b and l, and how its attributes compare (cells.compare); of listings with draw < `drawn` only, if given."""
+    kinds = "b_id string, l_id string, b bigint, l bigint, " + ", ".join([f"a_{c} int" for c in COMPARED] + [f"g_{c} double" for c in COMPARED] + [f"{c} double" for c in ("half", "unlike", "days", "log_n")])
+    return found.cells.mapInArrow(cells.compared_rows(RULES, found.log_n, found.every_day, drawn), kinds)
 
 
 def weak_labels(pairs: pd.DataFrame) -> np.ndarray:
@@ -418,12 +444,10 @@ class Model:
     slope: float
     shift: float
 
-    def column(self) -> Column:
-        """The calibrated log odds of a compared pair."""
-        z = F.lit(float(self.weights[-1]))
-        for f, w in zip(feature_columns().values(), self.weights[:-1], strict=True):
-            z = z + f * F.lit(float(w))
-        return z * F.lit(self.slope) + F.lit(self.shift)
+    def odds(self, pairs: dict[str, np.ndarray]) -> np.ndarray:
+        """The calibrated odds of compared pairs."""
+        z = feature_matrix(pd.DataFrame(pairs, copy=False)) @ self.weights[:-1] + self.weights[-1]
+        return np.exp(np.minimum(z * self.slope + self.shift, 60.0))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, penalty: float) -> np.ndarray:
@@ -465,12 +489,11 @@ def fit(pairs: pd.DataFrame, seed: int = 0) -> Model:
     return Model(weights, float(max(slope, 1e-3)), float(shift))
 
 
-def train(pairs: DataFrame, bank: DataFrame, listings: DataFrame) -> Model:
+def train(found: Cells, n_listings: int) -> Model:
     """The model of the weakly labelled candidate pairs of at most about TRAIN_LISTINGS listings, drawn by hash, and at most TRAIN_PAIRS pairs."""
-    share = int(min(1.0, TRAIN_LISTINGS / max(1, listings.count())) * 1_000_000)
-    drawn = lambda c: F.pmod(F.xxhash64(c), F.lit(1_000_000)) < share
-    rows = compared(pairs.where(drawn("l")), bank, listings.where(drawn("rid"))).orderBy(F.xxhash64("l"), "b_id").limit(TRAIN_PAIRS)
-    return fit(rows.drop("b_id", "l_id").toPandas())
+    share = int(min(1.0, TRAIN_LISTINGS / max(1, n_listings)) * DRAWS)
+    rows = compared(found, share).orderBy(F.xxhash64("l"), "b_id").limit(TRAIN_PAIRS)
+    return fit(rows.drop("b_id", "l_id", "b").toPandas())
 
 
 def match_offers(bank_offers: DataFrame, partner_listings: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -482,14 +505,15 @@ def match_offers(bank_offers: DataFrame, partner_listings: DataFrame, merchants:
     side; equal rows count once; a record version that differs under one id takes part by itself, and
     a pair has the best odds of them.
     """
-    ensure_checkpoint_dir(bank_offers.sparkSession)
-    rows = attributes(bank_offers, partner_listings)
-    rows = with_tokens(with_merchants(rows, merchants)).checkpoint()  # read by Python once
-    bank = with_rarity(rows.where("side = 'b'").drop("side")).checkpoint()
-    listings = rows.where("side = 'l'").drop("side")
-    pairs = candidate_pairs(bank, listings).checkpoint()
-    z = train(pairs, bank, listings).column()
-    scored = compared(pairs, bank, listings).select("b_id", "l_id", F.exp(F.least(z, F.lit(60.0))).alias("odds"))
-    best = scored.groupBy("l_id", "b_id").agg(F.max("odds").alias("odds")).groupBy("l_id").agg(F.max(F.struct("odds", "b_id")).alias("top"), F.sum("odds").alias("all"))
+    spark = bank_offers.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_bank, n_listings = bank_offers.count(), partner_listings.count()
+    chunks = lambda n: math.ceil(n / cells.CHUNK)
+    rows = with_merchants(attributes(bank_offers, partner_listings), merchants)
+    chunks = packed(rows, max(1, chunks(n_bank)), max(2 * spark.sparkContext.defaultParallelism, chunks(n_listings))).checkpoint()  # read by Python once
+    found = candidate_cells(chunks)
+    model = train(found, chunks.where("side = 'l'").agg(F.sum("n")).first()[0] or 0)
+    best = found.cells.mapInArrow(cells.best_rows(RULES, found.log_n, found.every_day, model.odds), "l_id string, odds double, b_id string, all double")
+    best = best.groupBy("l_id").agg(F.max(F.struct("odds", "b_id")).alias("top"), F.sum("all").alias("all"))
     confidence = F.round(F.col("top.odds") / (1 + F.col("all")), 6)
     return best.select(F.col("top.b_id").alias("bank_offer_id"), F.col("l_id").alias("listing_id"), confidence.alias("confidence")).where(F.col("confidence") > ACCEPT)
