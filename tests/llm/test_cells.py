@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from gleaner.llm import cells, pairs
@@ -53,6 +54,20 @@ def some(n, seed=5):
     return [*banks, banks[0], (None, *banks[0][1:])], [*listed, listed[0], ("empty", *(None,) * 8)]
 
 
+def test_rivals_of_a_hot_block_count(spark, monkeypatch):
+    """More than HOT offers that share three attributes with a listing and differ in the two others lower the confidence of its pair."""
+    n, day, rnd = pairs.HOT + 10, dt.date(2025, 1, 1), random.Random(1)
+    names = [a + "".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for a in ("abcdefghijklmnopqrstuvwxyz" * 4)[:n]]
+    assert all(distance(x, y) > 0.5 * max(len(x), len(y)) for i, x in enumerate(names) for y in names[:i])
+    banks = [offer(i, names[i], day + dt.timedelta(20 * i)) for i in range(n)]
+    weights = np.array([-1.0, *[-1.0] * 6, *[0.0] * 9, 6.0])  # the log of the number that agree by accident, one for each conflict
+    monkeypatch.setattr(pairs, "train", lambda *_: pairs.Model(weights, 1.0, 0.0))
+    got = pairs.match_offers(*frames(spark, banks, [listing(0, names[3], day + dt.timedelta(60))])).collect()
+    top = np.exp(np.log(n / (2 * pairs.DAYS_OFF + 1)) + 6)  # the merchant is one of n, the day one of n
+    rivals = (n - 1) * np.exp(-np.log(n) - 2 + 6)
+    assert [tuple(r) for r in got] == [("b3", "l0", pytest.approx(top / (1 + top + rivals), abs=2e-6))]
+
+
 def test_stored_bytes_follow_records(spark, tmp_path):
     """What is stored does not grow with the pairs: 48 blocks of 40 offers and 40 listings hold 76 800."""
     day = dt.date(2025, 1, 1)
