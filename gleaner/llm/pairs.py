@@ -293,8 +293,13 @@ def refined_keys(hot: DataFrame, rows: DataFrame, whole: bool, bank: bool) -> Da
     return joined.select("rid", F.explode(found).alias("key"))
 
 
+def hot_keys(keys: DataFrame) -> DataFrame:
+    """(key, n) of the blocks that hold more than HOT bank records."""
+    return keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+
+
 def candidate_pairs(bank: DataFrame, listings: DataFrame) -> DataFrame:
-    """(b, l): the rids of the pairs that share a band, each once, but for what hot blocks leave out.
+    """(b, l): the rids of the pairs that share a band, each once, but for what hot blocks leave out; those are `left_out_pairs`.
 
     For a look at the blocks only: what is matched are all pairs, by `candidate_cells`. A block of more than HOT bank records is not compared as it is: its records meet in it only where
     they also agree in a fourth attribute, or cannot differ in one as both others are missing; where that
@@ -307,7 +312,7 @@ def candidate_pairs(bank: DataFrame, listings: DataFrame) -> DataFrame:
     for step in range(3):
         usual, hot = keys, None
         if step < 2:
-            hot = keys["b"].groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key", F.lit(True).alias("hot")).checkpoint()
+            hot = hot_keys(keys["b"]).select("key", F.lit(True).alias("hot")).checkpoint()
             hot = None if hot.isEmpty() else own_exchange(hot)
         if hot is not None:
             parted = {s: keys[s].join(hot, "key", "left") for s in keys}
@@ -322,6 +327,20 @@ def candidate_pairs(bank: DataFrame, listings: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def left_out_pairs(bank: DataFrame, listings: DataFrame) -> DataFrame:
+    """(b, l): the rids of the pairs that share a band and are not in `candidate_pairs`, each once; both together are all pairs.
+
+    The hot blocks are compared whole here. Each is cut into pieces of about HOT bank records, and its
+    listings meet every piece, so no task has to hold a block.
+    """
+    keys = {"b": block_keys(bank), "l": block_keys(listings)}
+    hot = own_exchange(hot_keys(keys["b"]).select("key", F.ceil(F.col("n") / HOT).alias("pieces")).checkpoint())
+    parted = {s: keys[s].join(hot, "key") for s in keys}
+    b = parted["b"].select("key", F.pmod(F.xxhash64("rid"), "pieces").alias("piece"), F.col("rid").alias("b"))
+    met = parted["l"].select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"), F.col("rid").alias("l")).join(b, ["key", "piece"]).select("b", "l")
+    return met.distinct().join(candidate_pairs(bank, listings), ["b", "l"], "left_anti")
+
+
 # --- features, weak labels, classifier --------------------------------------------------------------
 
 #: Bounds of what training reads: listings drawn for it, and pairs taken to the driver.

@@ -102,6 +102,18 @@ def test_cells_hold_all_pairs(spark, monkeypatch):
         assert len(got) == len(set(got)) > 5000 and set(got) == want
 
 
+def test_what_hot_blocks_leave_out_is_found(spark, monkeypatch):
+    """What the blocks give and what hot ones leave out are together the pairs of the cells, each once."""
+    rows = rows_of(spark, 150)
+    want = {tuple(r) for r in pairs.compared(pairs.candidate_cells(pairs.packed(rows, 1, 1).checkpoint())).select("b", "l").collect()}
+    blocks = pairs.with_tokens(rows).checkpoint()
+    b, p = (blocks.where(F.col("side") == s).drop("side") for s in "bl")
+    for hot, left in ((1, True), (7, True), (10**9, False)):
+        monkeypatch.setattr(pairs, "HOT", hot)
+        usual, rest = ([tuple(r) for r in f(b, p).collect()] for f in (pairs.candidate_pairs, pairs.left_out_pairs))
+        assert len(usual) + len(rest) == len({*usual, *rest}) and {*usual, *rest} == want and bool(rest) == left
+
+
 def test_best_of_cells(spark, monkeypatch):
     """Of each listing the best pair and the sum of the odds, a pair of ids once with the best odds of its versions, however the records are cut."""
     rows, model = rows_of(spark, 300), pairs.Model(pairs.PRIOR / 8, 1.0, 0.0)
